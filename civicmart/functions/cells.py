@@ -32,12 +32,23 @@ def as_double(c: Column | str) -> Column:
 
 
 def as_date(c: Column | str, pattern: str = "yyyy-MM-dd") -> Column:
-    return F.try_to_date(_col(c), pattern)
+    """Text to DATE; the whole cell must have the pattern.
+
+    For year, month and day in full the shape is checked first and the cast does
+    the parsing, which costs a fraction of a pattern parse per cell.
+    """
+    cell = _col(c)
+    separator = pattern[4:5]
+    if pattern != separator.join(("yyyy", "MM", "dd")):
+        return F.try_to_date(cell, pattern)
+    shaped = cell.rlike(rf"^[0-9]{{4}}{separator}[0-9]{{2}}{separator}[0-9]{{2}}$")
+    iso = cell if separator == "-" else F.replace(cell, F.lit(separator), F.lit("-"))
+    return F.when(shaped, iso.try_cast("date"))
 
 
 def month_start(c: Column | str) -> Column:
     """``yyyy-MM`` to the first day of that month."""
-    return F.try_to_date(F.concat_ws("-", _col(c), F.lit("01")), "yyyy-MM-dd")
+    return as_date(F.concat(_col(c), F.lit("-01")))
 
 
 def tidy(c: Column | str) -> Column:

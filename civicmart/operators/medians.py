@@ -2,10 +2,11 @@
 
 ``percentile_approx`` at exact accuracy and ``median`` both merge every value of
 a group in one reducer.  Here equal values are counted first, the counts are
-summed in value-ordered buckets, and only the bucket that holds the middle rank
-is looked at again.  Three facts bound every task: counting is spread by value,
-a group has a limited number of buckets, and the last window sees the distinct
-values of one narrow bucket.
+summed in value-ordered buckets of equal relative width, and only the bucket
+that holds the middle rank is looked at again.  Three facts bound every task:
+counting is spread by value, the buckets of a group are limited by the range of
+its values and not by its rows, and the last window sees the distinct values of
+one narrow bucket.
 """
 
 from __future__ import annotations
@@ -15,25 +16,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOG_STEPS = 1024  # buckets per factor e
-_LOG_LIMIT = 1000.0  # above log of the largest double; infinities land here
-_LINEAR_STEPS = 8192
+_STEPS_PER_E = 65536  # neighbouring buckets differ by a factor of 1.000015
+_LEAST_LOG, _GREATEST_LOG = -30.0, 710.0  # smaller sizes count as zero; infinities end up above
+_SLICES = 8192
 
-_V, _N, _B, _BASE, _LO, _HI, _MIN, _MAX = (
-    "__value", "__count", "__bucket", "__base", "__rank_lo", "__rank_hi", "__min", "__max",
+_V, _N, _B, _S, _BASE, _LO, _HI = (
+    "__value", "__count", "__bucket", "__slice", "__base", "__rank_lo", "__rank_hi",
 )
 
 
 def _log_bucket(value: Column) -> Column:
-    """Bucket that never decreases as the value grows; finer near zero is not needed."""
-    size = F.least(F.log1p(F.abs(value)), F.lit(_LOG_LIMIT))
-    return F.floor(F.signum(value) * size * _LOG_STEPS).cast("bigint")
+    """Bucket number that never decreases as the value grows, of equal relative width."""
+    log = F.least(F.greatest(F.ln(F.greatest(F.abs(value), F.lit(1e-300))), F.lit(_LEAST_LOG)), F.lit(_GREATEST_LOG))
+    return F.floor(F.signum(value) * (log - _LEAST_LOG) * _STEPS_PER_E).cast("bigint")
 
 
-def _linear_bucket(value: Column) -> Column:
-    """Equal slices of the range of the bucket chosen before."""
-    place = (value - F.col(_MIN)) / F.when(F.col(_MAX) > F.col(_MIN), F.col(_MAX) - F.col(_MIN))
-    return F.floor(F.coalesce(place, F.lit(0.0)) * _LINEAR_STEPS).cast("bigint")
+def _slice(value: Column) -> Column:
+    """Number of the equal slice between the least and the greatest value of the bucket."""
+    place = (value - F.col("__min")) / F.when(F.col("__max") > F.col("__min"), F.col("__max") - F.col("__min"))
+    return F.floor(F.coalesce(place, F.lit(0.0)) * _SLICES).cast("bigint")
 
 
 def _matching(candidates: DataFrame, kept: DataFrame, by: Sequence[str], carry: Sequence[str]) -> DataFrame:
@@ -49,83 +50,97 @@ def _matching(candidates: DataFrame, kept: DataFrame, by: Sequence[str], carry:
     return candidates.join(renamed, condition).drop(*[f"__k{i}" for i in range(len(by))])
 
 
-def exact_median(
-    df: DataFrame,
+def count_values(df: DataFrame, keys: Sequence[str], value: str, **measures: Column) -> DataFrame:
+    """One row per group and distinct ``value`` with ``rows`` and any further sums.
+
+    The shuffle is on group and value, so a large group is spread by its values.
+    """
+    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in measures.items()])
+
+
+def _ranked(counts: DataFrame, within: Sequence[str], order: str, start: Column) -> DataFrame:
+    """Rank of the last value of each row, counted from ``start``, as ``__end``."""
+    upto = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.withColumn("__end", start + F.sum(_N).over(upto))
+
+
+def _holds_middle() -> Column:
+    return (F.col("__end") >= F.col(_LO)) & (F.col("__end") - F.col(_N) < F.col(_HI))
+
+
+def median_of_counts(
+    counts: DataFrame,
     keys: Sequence[str],
     value: str,
     out: str,
     interpolate: bool = False,
+    refine: bool = False,
 ) -> DataFrame:
-    """Median of ``value`` per group of ``keys`` as a frame of keys and ``out``.
+    """Median per group from the frame that ``count_values`` gives, as keys and ``out``.
 
     An even count gives the lower of the two middle values, or their mean with
     ``interpolate``.  NULL and NaN are missing; a group without values has no row.
+    ``refine`` cuts the chosen bucket into slices once more, for a measure whose
+    values differ by less than a thousandth of a percent.
     """
     keys = list(keys)
     number = F.col(value).cast("double")
-    counted = (
-        df.select(*keys, number.alias(_V))
+    bucketed = (
+        counts.select(*keys, number.alias(_V), F.col("rows").alias(_N))
         .filter(F.col(_V).isNotNull() & ~F.isnan(_V))
-        .groupBy(*keys, _V)
-        .agg(F.count("*").alias(_N))
+        .withColumn(_B, _log_bucket(F.col(_V)))
     )
 
-    # Coarse pass: counts per logarithmic bucket, then the bucket of the middle rank.
-    coarse = counted.withColumn(_B, _log_bucket(F.col(_V)))
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total, end = F.sum(_N).over(group), F.sum(_N).over(upto)
+    total = F.sum(_N).over(Window.partitionBy(*keys))
     low_rank = F.call_function("div", total + 1, F.lit(2))
     high_rank = F.call_function("div", total, F.lit(2)) + 1 if interpolate else low_rank
-    kept = (
-        coarse.groupBy(*keys, _B)
-        .agg(F.sum(_N).alias(_N), F.min(_V).alias(_MIN), F.max(_V).alias(_MAX))
-        .select(*keys, _B, _MIN, _MAX, (end - F.col(_N)).alias(_BASE), end.alias("__end"),
-                low_rank.alias(_LO), high_rank.alias(_HI))
-        .filter((F.col("__end") >= F.col(_LO)) & (F.col(_BASE) < F.col(_HI)))
-    )
-    coarse = _matching(coarse, kept, [*keys, _B], [_MIN, _MAX, _BASE, _LO, _HI])
-
-    # Fine pass inside that bucket: equal slices between its least and greatest value.
-    fine = coarse.withColumn("__slice", _linear_bucket(F.col(_V))).drop(_MIN, _MAX)
-    slices = Window.partitionBy(*keys, _B).orderBy("__slice").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    end = F.col(_BASE) + F.sum(_N).over(slices)
-    kept = (
-        fine.groupBy(*keys, _B, "__slice", _BASE, _LO, _HI)
-        .agg(F.sum(_N).alias(_N))
-        .select(*keys, _B, "__slice", _LO, _HI, (end - F.col(_N)).alias("__start"), end.alias("__end"))
-        .filter((F.col("__end") >= F.col(_LO)) & (F.col("__start") < F.col(_HI)))
-        .drop("__end", _LO, _HI)
+    per_bucket = bucketed.groupBy(*keys, _B).agg(
+        F.sum(_N).alias(_N), F.min(_V).alias("__min"), F.max(_V).alias("__max")
     )
-    fine = _matching(fine, kept, [*keys, _B, "__slice"], ["__start"])
-
-    # Ranks inside the slice.
-    within = Window.partitionBy(*keys, _B, "__slice").orderBy(_V).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    middle = (
+        _ranked(per_bucket.withColumns({_LO: low_rank, _HI: high_rank}), keys, _B, F.lit(0))
+        .filter(_holds_middle())
+        .withColumn(_BASE, F.col("__end") - F.col(_N))
     )
-    ranked = fine.withColumn("__end", F.col("__start") + F.sum(_N).over(within))
+    place = [*keys, _B]
+    bounds = ["__min", "__max"] if refine else []
+    rows = _matching(bucketed, middle, place, [_BASE, _LO, _HI, *bounds])
+
+    if refine:
+        sliced = rows.withColumn(_S, _slice(F.col(_V))).drop(*bounds)
+        per_slice = sliced.groupBy(*place, _S, _BASE, _LO, _HI).agg(F.sum(_N).alias(_N))
+        middle = (
+            _ranked(per_slice, place, _S, F.col(_BASE))
+            .filter(_holds_middle())
+            .withColumn(_BASE, F.col("__end") - F.col(_N))
+        )
+        place = [*place, _S]
+        rows = _matching(sliced.drop(_BASE), middle, place, [_BASE])
 
     def at(rank: str) -> Column:
         hit = (F.col("__end") >= F.col(rank)) & (F.col("__end") - F.col(_N) < F.col(rank))
         return F.max(F.when(hit, F.col(_V)))
 
-    middle = at(_LO) / 2 + at(_HI) / 2 if interpolate else at(_LO)
-    return ranked.groupBy(*keys).agg(middle.alias(out))
+    value_at = at(_LO) / 2 + at(_HI) / 2 if interpolate else at(_LO)
+    return _ranked(rows, place, _V, F.col(_BASE)).groupBy(*keys).agg(value_at.alias(out))
 
 
-def with_median(
-    summary: DataFrame,
+def exact_median(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     out: str,
     interpolate: bool = False,
+    refine: bool = False,
 ) -> DataFrame:
-    """``summary`` (one row per group) with the median of ``value`` over ``df`` added."""
-    medians = exact_median(df, keys, value, out, interpolate)
-    renamed = medians.select(*[F.col(k).alias(f"__m{i}") for i, k in enumerate(keys)], out)
+    """Median of ``value`` per group of ``keys``, as keys and ``out``."""
+    return median_of_counts(count_values(df, keys, value), keys, value, out, interpolate, refine)
+
+
+def join_groups(summary: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``summary`` with the columns of ``other``, one row per group each; NULL keys match."""
+    added = [c for c in other.columns if c not in keys]
+    renamed = other.select(*[F.col(k).alias(f"__m{i}") for i, k in enumerate(keys)], *added)
     condition = F.lit(True)
     for i, k in enumerate(keys):
         condition = condition & F.col(k).eqNullSafe(F.col(f"__m{i}"))

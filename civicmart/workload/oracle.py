@@ -331,6 +331,7 @@ ORACLE: dict[str, str] = {
         GROUP BY geography""",
     "keyword_documents": """SELECT doc_id, lang FROM documents
         WHERE contains(text, 'the') OR contains(text, 'license') OR contains(text, 'und')""",
+    "flagship_permit_trends": f"WITH {TRENDS} SELECT * FROM trends",
     "gold_permit_trends": f"WITH {TRENDS} SELECT * FROM trends",
     "gold_construction_investment": f"WITH {INVESTMENT} SELECT * FROM investment",
     "gold_apartment_scorecard": f"WITH {SCORECARD} SELECT * FROM scorecard",

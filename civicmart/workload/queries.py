@@ -58,28 +58,63 @@ def _index(spark: SparkSession, sf: str) -> DataFrame:
     return silver.housing_price_index(raw.index_extract(spark, sf))
 
 
+CLEAN_BUILDERS = {
+    "building_permits": _permits,
+    "properties": _parcels,
+    "apartment_buildings": _buildings,
+    "housing_price_index": _index,
+}
+MART_BUILDERS = {
+    "permit_trends": (lambda df: gold.permit_trends(df, raw.FIRST_YEAR), "building_permits"),
+    "construction_investment": (lambda df: gold.construction_investment(df, raw.FIRST_YEAR), "building_permits"),
+    "housing_development": (lambda df: gold.housing_development(df, raw.FIRST_YEAR), "building_permits"),
+    "apartment_scorecard": (gold.apartment_scorecard, "apartment_buildings"),
+    "price_index_trends": (gold.price_index_trends, "housing_price_index"),
+    "property_overview": (gold.property_overview, "properties"),
+}
+
+_lakes: dict[tuple[str, str], str] = {}
+_stored: set[tuple[str, str, str]] = set()
+
+
+def mart(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """A reporting table computed from its stored cleaned table."""
+    build, source = MART_BUILDERS[table]
+    return build(stored(spark, sf, CLEAN, source))
+
+
+def stored(spark: SparkSession, sf: str, layer: str, table: str) -> DataFrame:
+    """A layer table as the pipeline leaves it: written once per session, then read."""
+    lake = _lakes.setdefault((spark.sparkContext.applicationId, sf), scratch_dir(spark, "lake"))
+    if (lake, layer, table) not in _stored:
+        df = CLEAN_BUILDERS[table](spark, sf) if layer == CLEAN else mart(spark, sf, table)
+        replace_table(df, lake, layer, table)
+        _stored.add((lake, layer, table))
+    return read_table(spark, lake, layer, table)
+
+
 def _trends(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.permit_trends(_permits(spark, sf), raw.FIRST_YEAR)
+    return stored(spark, sf, MART, "permit_trends")
 
 
 def _investment(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.construction_investment(_permits(spark, sf), raw.FIRST_YEAR)
+    return stored(spark, sf, MART, "construction_investment")
 
 
 def _scorecard(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.apartment_scorecard(_buildings(spark, sf))
+    return stored(spark, sf, MART, "apartment_scorecard")
 
 
 def _housing(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.housing_development(_permits(spark, sf), raw.FIRST_YEAR)
+    return stored(spark, sf, MART, "housing_development")
 
 
 def _index_trends(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.price_index_trends(_index(spark, sf))
+    return stored(spark, sf, MART, "price_index_trends")
 
 
 def _overview(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.property_overview(_parcels(spark, sf))
+    return stored(spark, sf, MART, "property_overview")
 
 
 def _flagged(df: DataFrame, stamp: str) -> DataFrame:
@@ -152,8 +187,9 @@ def source_profile(spark: SparkSession, sf: str) -> DataFrame:
 def layer_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A reporting table written twice, read under its contract, copied and read again."""
     lake = scratch_dir(spark, "lake")
-    replace_table(_overview(spark, sf), lake, MART, "property_overview")
-    rows = replace_table(gold.presented(_overview(spark, sf), "property_overview"), lake, MART, "property_overview")
+    overview = _overview(spark, sf)
+    replace_table(overview, lake, MART, "property_overview")
+    rows = replace_table(gold.presented(overview, "property_overview"), lake, MART, "property_overview")
     stored = read_mart(spark, lake, "property_overview")
     export_parquet(stored, f"{lake}/export/property_overview.parquet")
     copied = read_table(spark, lake, "export", "property_overview.parquet")
@@ -332,40 +368,46 @@ def keyword_documents(spark: SparkSession, sf: str) -> DataFrame:
 # ---- reporting tables -------------------------------------------------------------------
 
 
+@registered
+def flagship_permit_trends(spark: SparkSession, sf: str) -> DataFrame:
+    """From raw permit cells to the reporting table in one plan, nothing stored between."""
+    return gold.permit_trends(_permits(spark, sf), raw.FIRST_YEAR)
+
+
 @registered
 def gold_permit_trends(spark: SparkSession, sf: str) -> DataFrame:
-    return _trends(spark, sf)
+    return mart(spark, sf, "permit_trends")
 
 
 @registered
 def gold_construction_investment(spark: SparkSession, sf: str) -> DataFrame:
-    return _investment(spark, sf)
+    return mart(spark, sf, "construction_investment")
 
 
 @registered
 def gold_apartment_scorecard(spark: SparkSession, sf: str) -> DataFrame:
-    return _scorecard(spark, sf)
+    return mart(spark, sf, "apartment_scorecard")
 
 
 @registered
 def gold_housing_development(spark: SparkSession, sf: str) -> DataFrame:
-    return _housing(spark, sf)
+    return mart(spark, sf, "housing_development")
 
 
 @registered
 def gold_price_index_trends(spark: SparkSession, sf: str) -> DataFrame:
-    return _index_trends(spark, sf)
+    return mart(spark, sf, "price_index_trends")
 
 
 @registered
 def gold_property_overview(spark: SparkSession, sf: str) -> DataFrame:
-    return _overview(spark, sf)
+    return mart(spark, sf, "property_overview")
 
 
 @registered
 def pivot_discovered(spark: SparkSession, sf: str) -> DataFrame:
     keys = ["reference_date", "ref_period", "geography"]
-    return pivot_found(_index(spark, sf), keys, "index_type", "index_value", gold.index_column)
+    return pivot_found(stored(spark, sf, CLEAN, "housing_price_index"), keys, "index_type", "index_value", gold.index_column)
 
 
 @registered
