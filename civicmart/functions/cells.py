@@ -15,20 +15,31 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Shapes tried before a cast: a cast that fails inside Spark costs a Java exception per cell.
+_NUMBER = r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
+_DECIMAL_SHAPE = rf"^\s*{_NUMBER}\s*$"
+_DOUBLE_SHAPE = rf"(?i)^\s*({_NUMBER}|[+-]?inf(inity)?)\s*$"
+
+
+def _whole(cell: Column, kind: str) -> Column:
+    """DECIMAL keeps every digit and lets the last cast cut the fraction off."""
+    return F.when(cell.rlike(_DECIMAL_SHAPE), cell).try_cast("decimal(38,18)").try_cast(kind)
+
+
 def as_int(c: Column | str) -> Column:
     """Text to INT: fractions are cut off, out-of-range and junk give NULL."""
-    return _col(c).try_cast("decimal(38,18)").try_cast("int")
+    return _whole(_col(c), "int")
 
 
 def as_long(c: Column | str) -> Column:
     """Text to BIGINT without passing through DOUBLE, so all 19 digits survive."""
-    return _col(c).try_cast("decimal(38,18)").try_cast("bigint")
+    return _whole(_col(c), "bigint")
 
 
 def as_double(c: Column | str) -> Column:
     """Text to DOUBLE; the spelling ``NaN`` counts as a missing value."""
-    number = _col(c).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    cell = _col(c)
+    return F.when(cell.rlike(_DOUBLE_SHAPE), cell).try_cast("double")
 
 
 def as_date(c: Column | str, pattern: str = "yyyy-MM-dd") -> Column:

@@ -2,75 +2,70 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values: (lower bound of |v|, divisor, decimals, suffix), largest first.
+# Fixed values: (lower bound of |v|, divisor, decimals, format), largest first; the last is the base.
 CURRENCY_STEPS = (
-    (1_000_000_000, 1_000_000_000, 2, "B"),
-    (1_000_000, 1_000_000, 1, "M"),
-    (1_000, 1_000, 0, "K"),
+    (1e9, 1e9, 2, "$%.2fB"),
+    (1e6, 1e6, 1, "$%.1fM"),
+    (1e3, 1e3, 0, "$%.0fK"),
+    (0.0, 1.0, 0, "$%,.0f"),
 )
 COUNT_STEPS = (
-    (1_000_000, 1_000_000, 1, "M"),
-    (1_000, 1_000, 1, "K"),
+    (1e6, 1e6, 1, "%.1fM"),
+    (1e3, 1e3, 1, "%.1fK"),
+    (0.0, 1.0, 0, "%,.0f"),
 )
 MISSING = "N/A"
 
 
-def fixed_text(value: Column, digits: int, grouping: bool = False) -> Column:
-    """``value`` with a fixed number of decimals, rounded as printf rounds.
+def _printf_rounded(value: Column, power: Column) -> Column:
+    """``value`` in units of ``1 / power``, rounded as C and Python print it.
 
-    printf rounds the exact binary value, ties to even, whereas ``format_number``
-    rounds the shortest decimal spelling.  A double below 2**53 times a power of
-    two is an exact BIGINT, so the decision is made on integers.  Up to two
-    decimals; from 2**53 on a double has no fraction left.
+    They round the exact binary value, ties to even, while Java formats round the
+    shortest decimal spelling half up.  Where the product looks like a tie, the
+    part it lost decides: both halves of the value split at 24 bits multiply
+    without loss, so that part is known exactly.  ``power`` is at most 100.
     """
-    size = F.abs(value.cast("double"))
-    # Beyond 2**53 the branch is NULL, which keeps the BIGINT arithmetic in range.
-    part = F.when(size < 2.0**53, size)
-    shift = F.lit(53) - F.floor(F.log2(F.greatest(part, F.lit(2.0**-7)))).cast("int")
-    scale = F.pow(F.lit(2.0), shift)
-    scaled = (part * scale).cast("bigint") * F.lit(10**digits)
-    unit = scale.cast("bigint")
-    low = F.call_function("div", scaled, unit)
-    twice = (scaled - low * unit) * 2
-    round_up = (twice > unit) | ((twice == unit) & (low % 2 == 1))
-    steps = low + F.when(round_up, 1).otherwise(0)
-
-    digits_of = (lambda n: F.format_number(n, 0)) if grouping else (lambda n: n.cast("string"))
-    fraction = F.lit("." + "0" * digits) if digits else F.lit("")
-    text = digits_of(F.call_function("div", steps, F.lit(10**digits)))
-    if digits:
-        text = F.concat(text, F.lit("."), F.lpad((steps % 10**digits).cast("string"), digits, "0"))
-    large = F.concat(digits_of(size.try_cast("decimal(38,0)")), fraction)
-    body = F.when(size == float("inf"), "inf").otherwise(F.coalesce(text, large))
-    return F.concat(F.when(value < 0, "-").otherwise(""), body)
-
-
-def _abbreviated(value: Column, steps: Sequence[tuple[float, float, int, str]], symbol: str) -> Column:
+    product = value * power
+    head = value.cast("float").cast("double")
+    lost = (value - head) * power - (product - head * power)
+    nudge = F.when(F.abs(product - F.rint(product)) == 0.5, F.signum(lost) / 4).otherwise(0.0)
+    return F.rint(product + nudge)
+
+
+def _formatted(value: Column, power: Column, pattern: Column) -> Column:
+    text = F.call_function("format_string", pattern, _printf_rounded(value, power) / power)
+    return F.replace(text, F.lit("Infinity"), F.lit("inf"))
+
+
+def fixed_text(value: Column, digits: int) -> Column:
+    """``value`` with ``digits`` decimals (0 to 2), rounded as C and Python print it."""
+    return _formatted(value.cast("double"), F.lit(10.0**digits), F.lit(f"%.{digits}f"))
+
+
+def _abbreviated(value: Column, steps: Sequence[tuple[float, float, int, str]]) -> Column:
     number = value.cast("double")
-    shown = F.coalesce(
-        *[
-            F.when(F.abs(number) >= bound, F.concat(fixed_text(number / divisor, digits), F.lit(suffix)))
-            for bound, divisor, digits, suffix in steps
-        ],
-        fixed_text(number, 0, grouping=True),
-    )
-    missing = number.isNull() | F.isnan(number)
-    return F.when(missing, F.lit(MISSING)).otherwise(F.concat(F.lit(symbol), shown))
+    size = F.abs(number)
+
+    def by_step(field: Callable[[tuple], object]) -> Column:
+        return F.coalesce(*[F.when(size >= step[0], F.lit(field(step))) for step in steps])
+
+    shown = _formatted(number / by_step(lambda s: s[1]), by_step(lambda s: 10.0 ** s[2]), by_step(lambda s: s[3]))
+    return F.when(number.isNull() | F.isnan(number), F.lit(MISSING)).otherwise(shown)
 
 
 def currency_text(value: Column) -> Column:
     """Dollar amount as ``$x.xxB``, ``$x.xM``, ``$xK`` or whole dollars."""
-    return _abbreviated(value, CURRENCY_STEPS, "$")
+    return _abbreviated(value, CURRENCY_STEPS)
 
 
 def count_text(value: Column) -> Column:
     """Count as ``x.xM``, ``x.xK`` or a whole number."""
-    return _abbreviated(value, COUNT_STEPS, "")
+    return _abbreviated(value, COUNT_STEPS)
 
 
 def as_loss(value: Column) -> Column:
