@@ -28,7 +28,8 @@ def _printf_rounded(value: Column, power: Column) -> Column:
     They round the exact binary value, ties to even, while Java formats round the
     shortest decimal spelling half up.  Where the product looks like a tie, the
     part it lost decides: both halves of the value split at 24 bits multiply
-    without loss, so that part is known exactly.  ``power`` is at most 100.
+    without loss, so that part is known exactly.  ``power`` is at most 100.  From
+    9e13 on, Java may pad the last decimal with a zero instead of the exact digit.
     """
     product = value * power
     head = value.cast("float").cast("double")
