@@ -1,0 +1,34 @@
+"""Every registered query against its SQL on DuckDB."""
+
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
+
+import __spark_entry__ as entry  # noqa: E402
+from check_pairs import compare, oracle_connection  # noqa: E402
+
+SF_DIR = os.environ.get("PAIRS_SF_DIR", "/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    return oracle_connection(SF_DIR)
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_pair(spark, oracle, name):
+    assert compare(entry.queries()[name](spark, SF_DIR), oracle, entry.oracle_sql()[name]) == []
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_entry_runs(spark):
+    assert entry.entry(spark).count() > 0
