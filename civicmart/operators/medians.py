@@ -50,14 +50,6 @@ def _matching(candidates: DataFrame, kept: DataFrame, by: Sequence[str], carry:
     return candidates.join(renamed, condition).drop(*[f"__k{i}" for i in range(len(by))])
 
 
-def count_values(df: DataFrame, keys: Sequence[str], value: str, **measures: Column) -> DataFrame:
-    """One row per group and distinct ``value`` with ``rows`` and any further sums.
-
-    The shuffle is on group and value, so a large group is spread by its values.
-    """
-    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in measures.items()])
-
-
 def _ranked(counts: DataFrame, within: Sequence[str], order: str, start: Column) -> DataFrame:
     """Rank of the last value of each row, counted from ``start``, as ``__end``."""
     upto = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -68,26 +60,28 @@ def _holds_middle() -> Column:
     return (F.col("__end") >= F.col(_LO)) & (F.col("__end") - F.col(_N) < F.col(_HI))
 
 
-def median_of_counts(
-    counts: DataFrame,
+def exact_median(
+    df: DataFrame,
     keys: Sequence[str],
     value: str,
     out: str,
     interpolate: bool = False,
     refine: bool = False,
 ) -> DataFrame:
-    """Median per group from the frame that ``count_values`` gives, as keys and ``out``.
+    """Median of ``value`` per group of ``keys``, as a frame of keys and ``out``.
 
     An even count gives the lower of the two middle values, or their mean with
     ``interpolate``.  NULL and NaN are missing; a group without values has no row.
     ``refine`` cuts the chosen bucket into slices once more, for a measure whose
-    values differ by less than a thousandth of a percent.
+    values differ by less than a ten-thousandth.
     """
     keys = list(keys)
-    number = F.col(value).cast("double")
+    # Equal values are counted on the map side; the shuffle spreads a group by value.
     bucketed = (
-        counts.select(*keys, number.alias(_V), F.col("rows").alias(_N))
+        df.select(*keys, F.col(value).cast("double").alias(_V))
         .filter(F.col(_V).isNotNull() & ~F.isnan(_V))
+        .groupBy(*keys, _V)
+        .agg(F.count(F.lit(1)).alias(_N))
         .withColumn(_B, _log_bucket(F.col(_V)))
     )
 
@@ -125,18 +119,6 @@ def median_of_counts(
     return _ranked(rows, place, _V, F.col(_BASE)).groupBy(*keys).agg(value_at.alias(out))
 
 
-def exact_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    out: str,
-    interpolate: bool = False,
-    refine: bool = False,
-) -> DataFrame:
-    """Median of ``value`` per group of ``keys``, as keys and ``out``."""
-    return median_of_counts(count_values(df, keys, value), keys, value, out, interpolate, refine)
-
-
 def join_groups(summary: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``summary`` with the columns of ``other``, one row per group each; NULL keys match."""
     added = [c for c in other.columns if c not in keys]

@@ -20,14 +20,19 @@ def running_total(
     within: Sequence[str],
     value: str,
     out: str,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Row-wise running sum of ``value`` per partition by ``periods``, then ``within``.
 
     Done in two steps so that a large partition is not sorted in one task: the
     sum of all earlier periods comes from one row per period, the rest from a
     window inside the period.  NULL sorts first.
+
+    ``totals`` may bring ``value`` by partition and period where that is cheaper
+    to compute from the input of ``df`` than from ``df``.
     """
-    per_period = df.groupBy(*partition, *periods).agg(F.sum(value).alias("__total"))
+    source = df if totals is None else totals
+    per_period = source.groupBy(*partition, *periods).agg(F.sum(value).alias("__total"))
     before = (
         Window.partitionBy(*partition)
         .orderBy(*[F.col(c).asc_nulls_first() for c in periods])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from civicmart.contracts import MART, conform, contract
 from civicmart.functions.cells import percent_change, rounded
 from civicmart.functions.tiers import investment_category, quality_tier
-from civicmart.operators.medians import count_values, join_groups, median_of_counts
+from civicmart.operators.medians import exact_median, join_groups
 from civicmart.operators.series import lagged, pivot_listed, running_total
 
 FIRST_YEAR = 2017  # fixed value
@@ -91,24 +91,15 @@ def construction_investment(
     cost = "estimated_construction_cost"
     keys = [*PERIOD, "ward", "current_use", "proposed_use"]
     costed = permits.filter((F.col(cost) > 0) & (F.col("application_year") >= first_year))
-    # One pass over the permits serves both the sums and the median.
-    by_cost = count_values(costed, keys, cost, units=F.sum("dwelling_units_created"))
-    summary = (
-        by_cost.groupBy(*keys)
-        .agg(
-            F.sum("rows").alias("project_count"),
-            F.sum(F.col(cost) * F.col("rows")).alias("total"),
-            F.max(cost).alias("max_investment"),
-            F.sum("units").alias("units_created"),
-        )
-        .withColumns(
-            {
-                "total_investment": rounded("total", 2),
-                "avg_investment": rounded(F.col("total") / F.col("project_count"), 2),
-            }
-        )
+    # Sums leave the map side as partial sums; only the median needs the values themselves.
+    summary = costed.groupBy(*keys).agg(
+        F.count("*").alias("project_count"),
+        rounded(F.sum(cost), 2).alias("total_investment"),
+        rounded(F.avg(cost), 2).alias("avg_investment"),
+        F.max(cost).alias("max_investment"),
+        F.sum("dwelling_units_created").alias("units_created"),
     )
-    medians = median_of_counts(by_cost, keys, cost, "median_investment", interpolate)
+    medians = exact_median(costed, keys, cost, "median_investment", interpolate)
     with_middle = join_groups(summary, medians, keys)
     return _mart(
         with_middle.withColumns(
@@ -142,19 +133,20 @@ def apartment_scorecard(buildings: DataFrame, null_tier: str | None = "floor") -
 def housing_development(permits: DataFrame, first_year: int = FIRST_YEAR) -> DataFrame:
     created, lost = F.col("dwelling_units_created"), F.col("dwelling_units_lost")
     detail = ["structure_type", "proposed_use"]
-    grouped = (
-        permits.filter((F.col("application_year") >= first_year) & (created.isNotNull() | lost.isNotNull()))
-        .groupBy(*PERIOD, "ward", *detail)
-        .agg(
-            F.count("*").alias("permit_count"),
-            F.sum(created).alias("units_created"),
-            F.sum(lost).alias("units_lost"),
-            F.sum("net_dwelling_units").alias("net_units"),
-            rounded(F.sum("estimated_construction_cost"), 2).alias("total_cost"),
-        )
+    changed = permits.filter(
+        (F.col("application_year") >= first_year) & (created.isNotNull() | lost.isNotNull())
     )
+    grouped = changed.groupBy(*PERIOD, "ward", *detail).agg(
+        F.count("*").alias("permit_count"),
+        F.sum(created).alias("units_created"),
+        F.sum(lost).alias("units_lost"),
+        F.sum("net_dwelling_units").alias("net_units"),
+        rounded(F.sum("estimated_construction_cost"), 2).alias("total_cost"),
+    )
+    # Straight from the permits: partial sums leave a few rows per task to shuffle.
+    totals = changed.groupBy("ward", *PERIOD).agg(F.sum("net_dwelling_units").alias("net_units"))
     return _mart(
-        running_total(grouped, ["ward"], PERIOD, detail, "net_units", "cumulative_net_units"),
+        running_total(grouped, ["ward"], PERIOD, detail, "net_units", "cumulative_net_units", totals),
         "housing_development",
     )
 
@@ -172,19 +164,15 @@ def price_index_trends(index: DataFrame) -> DataFrame:
 def property_overview(parcels: DataFrame, interpolate: bool = False) -> DataFrame:
     sqm, sqft = "stated_area_sqm", "stated_area_sqft"
     keys = ["feature_type"]
-    by_area = count_values(parcels, keys, sqm, sqft_total=F.sum(sqft), sqft_rows=F.count(sqft))
-    rows, area = F.col("rows"), F.col(sqm)
-    summary = by_area.groupBy(*keys).agg(
-        F.sum(rows).alias("property_count"),
-        rounded(F.sum(area * rows) / F.sum(F.when(area.isNotNull(), rows)), 2).alias("avg_area_sqm"),
-        rounded(F.sum("sqft_total") / F.sum(F.when(F.col("sqft_rows") > 0, F.col("sqft_rows"))), 2).alias(
-            "avg_area_sqft"
-        ),
-        F.min(area).alias("min_area_sqm"),
-        F.max(area).alias("max_area_sqm"),
-        rounded(F.sum(area * rows), 2).alias("total_area_sqm"),
+    summary = parcels.groupBy(*keys).agg(
+        F.count("*").alias("property_count"),
+        rounded(F.avg(sqm), 2).alias("avg_area_sqm"),
+        rounded(F.avg(sqft), 2).alias("avg_area_sqft"),
+        F.min(sqm).alias("min_area_sqm"),
+        F.max(sqm).alias("max_area_sqm"),
+        rounded(F.sum(sqm), 2).alias("total_area_sqm"),
     )
-    medians = median_of_counts(by_area, keys, sqm, "median_area_sqm", interpolate)
+    medians = exact_median(parcels, keys, sqm, "median_area_sqm", interpolate)
     with_middle = join_groups(summary, medians, keys)
     return _mart(
         with_middle.withColumn("median_area_sqm", rounded("median_area_sqm", 2)), "property_overview"
