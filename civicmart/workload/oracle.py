@@ -247,6 +247,7 @@ ORACLE: dict[str, str] = {
           'Statistics Canada — New Housing Price Index (18-10-0205-01)' AS source,
           CAST(1 AS INTEGER) AS has_file, CAST(1 AS INTEGER) AS stamped FROM orders""",
     "csv_multiline_text": "SELECT doc_id, lang, source, md5(text) AS text_md5 FROM documents",
+    "csv_stitched_text": "SELECT doc_id, lang, source, md5(text) AS text_md5 FROM documents",
     "bronze_missing_source": """
         SELECT CASE WHEN l_linestatus = 'O' THEN 'permits_active' ELSE 'permits_cleared' END AS table_name,
           count(*) AS rows, CAST(34 AS INTEGER) AS columns FROM lineitem GROUP BY 1""",

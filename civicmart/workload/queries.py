@@ -153,17 +153,27 @@ def bronze_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@registered
-def csv_multiline_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole document texts through CSV cells with quotes and line breaks."""
+def _text_cells(spark: SparkSession, sf: str, **options) -> DataFrame:
     path = scratch_dir(spark, "texts")
     documents = raw.table(spark, sf, "documents")
     _csv(documents.select("doc_id", "lang", "source", "text"), path)
-    return read_csv(spark, path, multi_line="auto").select(
+    return read_csv(spark, path, **options).select(
         cells.as_long("doc_id").alias("doc_id"), "lang", "source", F.md5("text").alias("text_md5")
     )
 
 
+@registered
+def csv_multiline_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole document texts through CSV cells with quotes and line breaks."""
+    return _text_cells(spark, sf)
+
+
+@registered
+def csv_stitched_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The same file read in splits, its records joined from physical lines."""
+    return _text_cells(spark, sf, multi_line="auto", whole_file_limit=0)
+
+
 @registered
 def bronze_missing_source(spark: SparkSession, sf: str) -> DataFrame:
     """Two of eight extracts exist; the others are left out."""

@@ -2,6 +2,7 @@
 
 import csv
 import io
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from civicmart.plans import gold, pipeline
 from civicmart.session import scratch_dir, shuffle_partitions
 from civicmart.sinks.catalog import create_tables
 from civicmart.sinks.tables import layer_summary, replace_table
-from civicmart.sources.extracts import EXTRACTS, profile, read_csv, read_extract, read_present
+from civicmart.sources.extracts import EXTRACTS, profile, read_csv, read_extract, read_present, reading_plan
 from civicmart.sources.layers import MissingTableError, read_mart, read_table
 
 
@@ -99,7 +100,7 @@ def test_reporting_tables_and_export(spark, lake):
 def test_running_again_gives_the_same_tables(spark, lake, raw_dir):
     folder, written = lake
     before = {t: sorted(read_mart(spark, folder, t).collect(), key=str) for t in tables(MART)}
-    assert pipeline.run(spark, str(raw_dir), folder, multi_line="auto") == written
+    assert pipeline.run(spark, str(raw_dir), folder, multi_line=True) == written
     assert before == {t: sorted(read_mart(spark, folder, t).collect(), key=str) for t in tables(MART)}
 
 
@@ -147,6 +148,44 @@ def test_split_reading_only_where_records_end_with_lines(spark, tmp_path):
         assert df.filter("f like '%a.csv'").count() == 2
 
 
+def test_stitched_records_equal_the_whole_file_reader(spark, tmp_path):
+    draw = random.Random(11)
+    pieces = ["a", "b c", '"', ",", "\n", "\r\n", "é", " ", "''", "\\", "\n\n"]
+    for name in ("one", "two"):
+        with open(tmp_path / f"{name}.csv", "w", newline="", encoding="utf-8-sig") as out:
+            writer = csv.writer(out, lineterminator="\n" if name == "one" else "\r\n")
+            writer.writerow(["id", "Text (raw)", "note"])
+            for i in range(400):
+                cell = "".join(draw.choice(pieces) for _ in range(draw.randrange(0, 60)))
+                writer.writerow([f"{name}{i}", cell, "x" if i % 3 else ""])
+    whole = read_csv(spark, str(tmp_path), file_column="f")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        stitched = read_csv(spark, str(tmp_path), multi_line="auto", file_column="f", whole_file_limit=0)
+        assert stitched.columns == whole.columns
+        got = sorted(map(tuple, stitched.collect()), key=repr)
+        blocks = spark.read.text(str(tmp_path)).select("_metadata.file_block_start").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert blocks > 10 and len(got) == 800
+    assert got == sorted(map(tuple, whole.collect()), key=repr)
+
+
+def test_reading_plan(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text('x,y\n3,"d ""q"""\n4,""\n')
+    (tmp_path / "open.csv").write_text('x,y\n1,"a\n""b"" c"\n')
+    (tmp_path / "stray.csv").write_text('x,y\n1,5" pipe\n2,"a\nb"\n')
+
+    def ways(limit):
+        plan = reading_plan(spark, str(tmp_path), limit)
+        return {way: sorted(f.rsplit("/", 1)[1] for f in files) for way, files in plan.items()}
+
+    assert ways(10**6) == {"split": ["plain.csv"], "whole": ["open.csv", "stray.csv"], "stitch": []}
+    assert ways(0) == {"split": ["plain.csv"], "whole": ["stray.csv"], "stitch": ["open.csv"]}
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "orc"])
 def test_overwrite_replaces_rows_and_schema(spark, tmp_path, fmt):
     lake = str(tmp_path)
