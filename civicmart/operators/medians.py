@@ -20,34 +20,25 @@ _STEPS_PER_E = 8192  # neighbouring buckets differ by about an eighth of a thous
 _LEAST_LOG, _GREATEST_LOG = -30.0, 710.0  # smaller sizes count as zero; infinities end up above
 _SLICES = 8192
 
-_V, _N, _B, _S, _BASE, _LO, _HI = (
-    "__value", "__count", "__bucket", "__slice", "__base", "__rank_lo", "__rank_hi",
+_G, _V, _N, _B, _S, _BASE, _LO, _HI = (
+    "__group", "__value", "__count", "__bucket", "__slice", "__base", "__rank_lo", "__rank_hi",
 )
+LOW, HIGH = "low_middle", "high_middle"
 
 
 def _log_bucket(value: Column) -> Column:
     """Bucket number that never decreases as the value grows, of equal relative width."""
     log = F.least(F.greatest(F.ln(F.greatest(F.abs(value), F.lit(1e-300))), F.lit(_LEAST_LOG)), F.lit(_GREATEST_LOG))
-    return F.floor(F.signum(value) * (log - _LEAST_LOG) * _STEPS_PER_E).cast("bigint")
+    bucket = F.floor(F.signum(value) * (log - _LEAST_LOG) * _STEPS_PER_E).cast("bigint")
+    # Never NULL here; saying so keeps a null filter of the join out of one of its inputs,
+    # so that both read the same shuffle.
+    return F.coalesce(bucket, F.lit(0).cast("bigint"))
 
 
 def _slice(value: Column) -> Column:
     """Number of the equal slice between the least and the greatest value of the bucket."""
     place = (value - F.col("__min")) / F.when(F.col("__max") > F.col("__min"), F.col("__max") - F.col("__min"))
-    return F.floor(F.coalesce(place, F.lit(0.0)) * _SLICES).cast("bigint")
-
-
-def _matching(candidates: DataFrame, kept: DataFrame, by: Sequence[str], carry: Sequence[str]) -> DataFrame:
-    """Candidates whose ``by`` columns occur in ``kept``, NULL matching NULL.
-
-    ``kept`` has at most two rows per group; Spark broadcasts it if it proves
-    small and otherwise joins on group and bucket, which spreads a hot group.
-    """
-    renamed = kept.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)], *carry)
-    condition = F.lit(True)
-    for i, c in enumerate(by):
-        condition = condition & F.col(c).eqNullSafe(F.col(f"__k{i}"))
-    return candidates.join(renamed, condition).drop(*[f"__k{i}" for i in range(len(by))])
+    return F.coalesce(F.floor(place * _SLICES).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _ranked(counts: DataFrame, within: Sequence[str], order: str, start: Column) -> DataFrame:
@@ -60,45 +51,45 @@ def _holds_middle() -> Column:
     return (F.col("__end") >= F.col(_LO)) & (F.col("__end") - F.col(_N) < F.col(_HI))
 
 
-def exact_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    out: str,
-    interpolate: bool = False,
-    refine: bool = False,
+def middle_values(
+    df: DataFrame, keys: Sequence[str], value: str, interpolate: bool = False, refine: bool = False
 ) -> DataFrame:
-    """Median of ``value`` per group of ``keys``, as a frame of keys and ``out``.
+    """One or two rows per group with its middle values in ``low_middle`` and ``high_middle``.
 
-    An even count gives the lower of the two middle values, or their mean with
-    ``interpolate``.  NULL and NaN are missing; a group without values has no row.
+    An even count has two middle values; without ``interpolate`` only the lower
+    one is found.  NULL and NaN are missing; a group without values has no row.
     ``refine`` cuts the chosen bucket into slices once more, for a measure whose
     values differ by less than a ten-thousandth.
+
+    The keys travel as one struct: structs with equal fields join even where a
+    field is NULL, and join and window then share one partitioning.
     """
-    keys = list(keys)
+    group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("__all"))
     # Equal values are counted on the map side; the shuffle spreads a group by value.
     bucketed = (
-        df.select(*keys, F.col(value).cast("double").alias(_V))
+        df.select(group.alias(_G), F.col(value).cast("double").alias(_V))
         .filter(F.col(_V).isNotNull() & ~F.isnan(_V))
-        .groupBy(*keys, _V)
+        .groupBy(_G, _V)
         .agg(F.count(F.lit(1)).alias(_N))
         .withColumn(_B, _log_bucket(F.col(_V)))
     )
 
-    total = F.sum(_N).over(Window.partitionBy(*keys))
+    total = F.sum(_N).over(Window.partitionBy(_G))
     low_rank = F.call_function("div", total + 1, F.lit(2))
     high_rank = F.call_function("div", total, F.lit(2)) + 1 if interpolate else low_rank
-    per_bucket = bucketed.groupBy(*keys, _B).agg(
+    per_bucket = bucketed.groupBy(_G, _B).agg(
         F.sum(_N).alias(_N), F.min(_V).alias("__min"), F.max(_V).alias("__max")
     )
     middle = (
-        _ranked(per_bucket.withColumns({_LO: low_rank, _HI: high_rank}), keys, _B, F.lit(0))
+        _ranked(per_bucket.withColumns({_LO: low_rank, _HI: high_rank}), [_G], _B, F.lit(0))
         .filter(_holds_middle())
         .withColumn(_BASE, F.col("__end") - F.col(_N))
     )
-    place = [*keys, _B]
+    place = [_G, _B]
     bounds = ["__min", "__max"] if refine else []
-    rows = _matching(bucketed, middle, place, [_BASE, _LO, _HI, *bounds])
+    # At most two buckets per group remain: Spark broadcasts them if they prove small and
+    # otherwise joins on group and bucket, which spreads a large group.
+    rows = bucketed.join(middle.select(*place, _BASE, _LO, _HI, *bounds), place)
 
     if refine:
         sliced = rows.withColumn(_S, _slice(F.col(_V))).drop(*bounds)
@@ -109,21 +100,37 @@ def exact_median(
             .withColumn(_BASE, F.col("__end") - F.col(_N))
         )
         place = [*place, _S]
-        rows = _matching(sliced.drop(_BASE), middle, place, [_BASE])
+        rows = sliced.drop(_BASE).join(middle.select(*place, _BASE), place)
 
     def at(rank: str) -> Column:
         hit = (F.col("__end") >= F.col(rank)) & (F.col("__end") - F.col(_N) < F.col(rank))
-        return F.max(F.when(hit, F.col(_V)))
+        return F.when(hit, F.col(_V))
+
+    found = _ranked(rows, place, _V, F.col(_BASE)).filter(_holds_middle())
+    names = [F.col(_G)[k].alias(k) for k in keys]
+    return found.select(*names, at(_LO).alias(LOW), at(_HI).alias(HIGH))
+
 
-    value_at = at(_LO) / 2 + at(_HI) / 2 if interpolate else at(_LO)
-    return _ranked(rows, place, _V, F.col(_BASE)).groupBy(*keys).agg(value_at.alias(out))
+def median(interpolate: bool = False) -> Column:
+    """The median as an aggregate over the rows of ``middle_values``."""
+    return F.max(LOW) / 2 + F.max(HIGH) / 2 if interpolate else F.max(LOW)
 
 
-def join_groups(summary: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``summary`` with the columns of ``other``, one row per group each; NULL keys match."""
-    added = [c for c in other.columns if c not in keys]
-    renamed = other.select(*[F.col(k).alias(f"__m{i}") for i, k in enumerate(keys)], *added)
-    condition = F.lit(True)
-    for i, k in enumerate(keys):
-        condition = condition & F.col(k).eqNullSafe(F.col(f"__m{i}"))
-    return summary.join(renamed, condition, "left").drop(*[f"__m{i}" for i in range(len(keys))])
+def with_middle_values(
+    df: DataFrame, keys: Sequence[str], value: str, interpolate: bool = False, refine: bool = False
+) -> DataFrame:
+    """The rows of ``df`` followed by those of ``middle_values``, told apart by ``is_row``.
+
+    One aggregation by ``keys`` then gives sums and ``median`` together, where a
+    join of the two would shuffle both once more.  The other columns of the added
+    rows are NULL, so aggregates that skip NULL need no care.
+    """
+    own = df.withColumn("is_row", F.lit(1))
+    return own.unionByName(middle_values(df, keys, value, interpolate, refine), allowMissingColumns=True)
+
+
+def exact_median(
+    df: DataFrame, keys: Sequence[str], value: str, out: str, interpolate: bool = False, refine: bool = False
+) -> DataFrame:
+    """Median of ``value`` per group of ``keys``, as a frame of keys and ``out``."""
+    return middle_values(df, keys, value, interpolate, refine).groupBy(*keys).agg(median(interpolate).alias(out))

@@ -32,27 +32,28 @@ def running_total(
     to compute from the input of ``df`` than from ``df``.
     """
     source = df if totals is None else totals
-    per_period = source.groupBy(*partition, *periods).agg(F.sum(value).alias("__total"))
+    # Partition and period travel as one struct, which joins NULL fields as equal and
+    # lets the window and the join share one partitioning.
+    place = F.struct(*partition, *periods)
     before = (
-        Window.partitionBy(*partition)
-        .orderBy(*[F.col(c).asc_nulls_first() for c in periods])
+        Window.partitionBy(*[f"__place.{c}" for c in partition])
+        .orderBy(*[F.col(f"__place.{c}").asc_nulls_first() for c in periods])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    names = [*partition, *periods]
-    offsets = per_period.withColumn("__before", F.sum("__total").over(before)).select(
-        *[F.col(c).alias(f"__p{i}") for i, c in enumerate(names)], "__before"
+    offsets = (
+        source.groupBy(place.alias("__place"))
+        .agg(F.sum(value).alias("__total"))
+        .select("__place", F.sum("__total").over(before).alias("__before"))
     )
-    condition = F.lit(True)
-    for i, c in enumerate(names):
-        condition = condition & F.col(c).eqNullSafe(F.col(f"__p{i}"))
     inside = (
-        Window.partitionBy(*names)
+        Window.partitionBy("__place")
         .orderBy(*[F.col(c).asc_nulls_first() for c in within])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        df.withColumn("__inside", F.sum(value).over(inside))
-        .join(offsets, condition, "left")
+        df.withColumn("__place", place)
+        .withColumn("__inside", F.sum(value).over(inside))
+        .join(offsets, "__place", "left")
         .withColumn(out, _added(F.col("__before"), F.col("__inside")))
         .select(*df.columns, out)
     )

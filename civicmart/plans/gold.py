@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from civicmart.contracts import MART, conform, contract
 from civicmart.functions.cells import percent_change, rounded
 from civicmart.functions.tiers import investment_category, quality_tier
-from civicmart.operators.medians import exact_median, join_groups
+from civicmart.operators.medians import median, with_middle_values
 from civicmart.operators.series import lagged, pivot_listed, running_total
 
 FIRST_YEAR = 2017  # fixed value
@@ -91,23 +91,16 @@ def construction_investment(
     cost = "estimated_construction_cost"
     keys = [*PERIOD, "ward", "current_use", "proposed_use"]
     costed = permits.filter((F.col(cost) > 0) & (F.col("application_year") >= first_year))
-    # Sums leave the map side as partial sums; only the median needs the values themselves.
-    summary = costed.groupBy(*keys).agg(
-        F.count("*").alias("project_count"),
+    summary = with_middle_values(costed, keys, cost, interpolate).groupBy(*keys).agg(
+        F.count(cost).alias("project_count"),
         rounded(F.sum(cost), 2).alias("total_investment"),
         rounded(F.avg(cost), 2).alias("avg_investment"),
+        rounded(median(interpolate), 2).alias("median_investment"),
         F.max(cost).alias("max_investment"),
         F.sum("dwelling_units_created").alias("units_created"),
     )
-    medians = exact_median(costed, keys, cost, "median_investment", interpolate)
-    with_middle = join_groups(summary, medians, keys)
     return _mart(
-        with_middle.withColumns(
-            {
-                "median_investment": rounded("median_investment", 2),
-                "investment_category": investment_category(F.col("avg_investment")),
-            }
-        ),
+        summary.withColumn("investment_category", investment_category(F.col("avg_investment"))),
         "construction_investment",
     )
 
@@ -164,16 +157,13 @@ def price_index_trends(index: DataFrame) -> DataFrame:
 def property_overview(parcels: DataFrame, interpolate: bool = False) -> DataFrame:
     sqm, sqft = "stated_area_sqm", "stated_area_sqft"
     keys = ["feature_type"]
-    summary = parcels.groupBy(*keys).agg(
-        F.count("*").alias("property_count"),
+    summary = with_middle_values(parcels, keys, sqm, interpolate).groupBy(*keys).agg(
+        F.count("is_row").alias("property_count"),
         rounded(F.avg(sqm), 2).alias("avg_area_sqm"),
         rounded(F.avg(sqft), 2).alias("avg_area_sqft"),
+        rounded(median(interpolate), 2).alias("median_area_sqm"),
         F.min(sqm).alias("min_area_sqm"),
         F.max(sqm).alias("max_area_sqm"),
         rounded(F.sum(sqm), 2).alias("total_area_sqm"),
     )
-    medians = exact_median(parcels, keys, sqm, "median_area_sqm", interpolate)
-    with_middle = join_groups(summary, medians, keys)
-    return _mart(
-        with_middle.withColumn("median_area_sqm", rounded("median_area_sqm", 2)), "property_overview"
-    )
+    return _mart(summary, "property_overview")
