@@ -1,12 +1,15 @@
 """Exact medians per group that never hold a group in one task.
 
 ``percentile_approx`` at exact accuracy and ``median`` both merge every value of
-a group in one reducer.  Here equal values are counted first, the counts are
-summed in value-ordered buckets of equal relative width, and only the bucket
-that holds the middle rank is looked at again.  Three facts bound every task:
-counting is spread by value, the buckets of a group are limited by the range of
-its values and not by its rows, and the last window sees the distinct values of
-one narrow bucket.
+a group in one reducer.  Here equal values are counted first.  The counts are then
+summed in value-ordered buckets of equal relative width, the bucket that holds the
+middle rank is cut into slices between its least and greatest value, and only the
+slice that holds the middle rank is ranked.
+
+What a task can meet is bounded by the range of the values and not by the rows of a
+group: counting is spread by value, a group has at most some 95,000 buckets (all
+doubles) and one bucket 8192 slices, and a slice holds the distinct values of less
+than a ten-thousandth of the bucket that was chosen for its rank.
 """
 
 from __future__ import annotations
@@ -16,9 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_STEPS_PER_E = 8192  # neighbouring buckets differ by about an eighth of a thousandth
+_STEPS_PER_E = 64  # a bucket spans a factor of 1.016
 _LEAST_LOG, _GREATEST_LOG = -30.0, 710.0  # smaller sizes count as zero; infinities end up above
-_SLICES = 8192
+_SLICES = 8192  # per bucket
 
 _G, _V, _N, _B, _S, _BASE, _LO, _HI = (
     "__group", "__value", "__count", "__bucket", "__slice", "__base", "__rank_lo", "__rank_hi",
@@ -51,15 +54,11 @@ def _holds_middle() -> Column:
     return (F.col("__end") >= F.col(_LO)) & (F.col("__end") - F.col(_N) < F.col(_HI))
 
 
-def middle_values(
-    df: DataFrame, keys: Sequence[str], value: str, interpolate: bool = False, refine: bool = False
-) -> DataFrame:
+def middle_values(df: DataFrame, keys: Sequence[str], value: str, interpolate: bool = False) -> DataFrame:
     """One or two rows per group with its middle values in ``low_middle`` and ``high_middle``.
 
     An even count has two middle values; without ``interpolate`` only the lower
     one is found.  NULL and NaN are missing; a group without values has no row.
-    ``refine`` cuts the chosen bucket into slices once more, for a measure whose
-    values differ by less than a ten-thousandth.
 
     The keys travel as one struct: structs with equal fields join even where a
     field is NULL, and join and window then share one partitioning.
@@ -85,22 +84,22 @@ def middle_values(
         .filter(_holds_middle())
         .withColumn(_BASE, F.col("__end") - F.col(_N))
     )
-    place = [_G, _B]
-    bounds = ["__min", "__max"] if refine else []
     # At most two buckets per group remain: Spark broadcasts them if they prove small and
     # otherwise joins on group and bucket, which spreads a large group.
-    rows = bucketed.join(middle.select(*place, _BASE, _LO, _HI, *bounds), place)
-
-    if refine:
-        sliced = rows.withColumn(_S, _slice(F.col(_V))).drop(*bounds)
-        per_slice = sliced.groupBy(*place, _S, _BASE, _LO, _HI).agg(F.sum(_N).alias(_N))
-        middle = (
-            _ranked(per_slice, place, _S, F.col(_BASE))
-            .filter(_holds_middle())
-            .withColumn(_BASE, F.col("__end") - F.col(_N))
-        )
-        place = [*place, _S]
-        rows = sliced.drop(_BASE).join(middle.select(*place, _BASE), place)
+    bucket = [_G, _B]
+    sliced = (
+        bucketed.join(middle.select(*bucket, "__min", "__max", _BASE, _LO, _HI), bucket)
+        .withColumn(_S, _slice(F.col(_V)))
+        .drop("__min", "__max")
+    )
+    per_slice = sliced.groupBy(*bucket, _S, _BASE, _LO, _HI).agg(F.sum(_N).alias(_N))
+    middle = (
+        _ranked(per_slice, bucket, _S, F.col(_BASE))
+        .filter(_holds_middle())
+        .withColumn(_BASE, F.col("__end") - F.col(_N))
+    )
+    place = [*bucket, _S]
+    rows = sliced.drop(_BASE).join(middle.select(*place, _BASE), place)
 
     def at(rank: str) -> Column:
         hit = (F.col("__end") >= F.col(rank)) & (F.col("__end") - F.col(_N) < F.col(rank))
@@ -117,7 +116,7 @@ def median(interpolate: bool = False) -> Column:
 
 
 def with_middle_values(
-    df: DataFrame, keys: Sequence[str], value: str, interpolate: bool = False, refine: bool = False
+    df: DataFrame, keys: Sequence[str], value: str, interpolate: bool = False
 ) -> DataFrame:
     """The rows of ``df`` followed by those of ``middle_values``, told apart by ``is_row``.
 
@@ -126,11 +125,11 @@ def with_middle_values(
     rows are NULL, so aggregates that skip NULL need no care.
     """
     own = df.withColumn("is_row", F.lit(1))
-    return own.unionByName(middle_values(df, keys, value, interpolate, refine), allowMissingColumns=True)
+    return own.unionByName(middle_values(df, keys, value, interpolate), allowMissingColumns=True)
 
 
 def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, interpolate: bool = False, refine: bool = False
+    df: DataFrame, keys: Sequence[str], value: str, out: str, interpolate: bool = False
 ) -> DataFrame:
     """Median of ``value`` per group of ``keys``, as a frame of keys and ``out``."""
-    return middle_values(df, keys, value, interpolate, refine).groupBy(*keys).agg(median(interpolate).alias(out))
+    return middle_values(df, keys, value, interpolate).groupBy(*keys).agg(median(interpolate).alias(out))
