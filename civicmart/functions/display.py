@@ -34,8 +34,8 @@ def _printf_rounded(value: Column, power: Column) -> Column:
     product = value * power
     head = value.cast("float").cast("double")
     lost = (value - head) * power - (product - head * power)
-    nudge = F.when(F.abs(product - F.rint(product)) == 0.5, F.signum(lost) / 4).otherwise(0.0)
-    return F.rint(product + nudge)
+    decided = F.when(F.abs(product - F.rint(product)) == 0.5, product + F.signum(lost) / 4)
+    return F.rint(F.coalesce(decided, product))
 
 
 def _formatted(value: Column, power: Column, pattern: Column) -> Column:

@@ -111,7 +111,7 @@ def python_count(v):
 
 
 TIES = [
-    None, float("nan"), 0.0, 0.5, 1.5, 2.5, 999.4, 999.5, 999.7, -0.3, -999.6, 1000.0, 1450.0, 1250.0, 1350.0, 1500.0,
+    None, float("nan"), 0.0, -0.0, 0.5, 1.5, 2.5, 999.4, 999.5, 999.7, -0.3, -999.6, 1000.0, 1450.0, 1250.0, 1350.0, 1500.0,
     2500.0, 12250.0, 1_050_000.0, 1_150_000.0, 1_250_000.0, 1_650_000.0, -2_550_000.0, 999_999.9, 1.005e9, 1.015e9,
     2.675e9, 1.125e9, 3.14159e12, -7.5e10, 123456789012.0, 1e20, float("inf"),
 ]
