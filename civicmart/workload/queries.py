@@ -16,7 +16,7 @@ from civicmart.plans import gold, serving, silver
 from civicmart.session import scratch_dir
 from civicmart.sinks.tables import export_parquet, layer_summary, replace_table
 from civicmart.sources.extracts import EXTRACTS, profile, read_csv, read_extract, read_present
-from civicmart.sources.layers import read_mart, read_table
+from civicmart.sources.layers import MissingTableError, read_mart, read_table
 from civicmart.workload import standins as raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,10 +86,14 @@ def mart(spark: SparkSession, sf: str, table: str) -> DataFrame:
 def stored(spark: SparkSession, sf: str, layer: str, table: str) -> DataFrame:
     """A layer table as the pipeline leaves it: written once per session, then read."""
     lake = _lakes.setdefault((spark.sparkContext.applicationId, sf), scratch_dir(spark, "lake"))
-    if (lake, layer, table) not in _stored:
-        df = CLEAN_BUILDERS[table](spark, sf) if layer == CLEAN else mart(spark, sf, table)
-        replace_table(df, lake, layer, table)
-        _stored.add((lake, layer, table))
+    if (lake, layer, table) in _stored:
+        try:
+            return read_table(spark, lake, layer, table)
+        except MissingTableError:  # the shared folder was cleared meanwhile
+            pass
+    df = CLEAN_BUILDERS[table](spark, sf) if layer == CLEAN else mart(spark, sf, table)
+    replace_table(df, lake, layer, table)
+    _stored.add((lake, layer, table))
     return read_table(spark, lake, layer, table)
 
 
