@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicmart.llm import hosts, topk, warc
+from civicmart.llm import hosts, simhash, topk, warc
 from civicmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,13 @@ def op4_host_reputation(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@registered
+def op5_simhash_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate components of all documents by fingerprint."""
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @registered
 def op9_sorted_list_search(spark: SparkSession, sf: str) -> DataFrame:
     """The five best of all other vectors for every fiftieth vector."""

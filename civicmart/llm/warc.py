@@ -118,7 +118,8 @@ def read_archives(index: DataFrame) -> DataFrame:
                         yield _records(_frame(file, start, packed, size))
 
     bundles = index.select("bundle").distinct()
-    return bundles.mapInPandas(read, _RECORD)
+    # A stated number of partitions, because adaptive merging sees only the short names.
+    return bundles.repartition(max(1, bundles.count()), "bundle").mapInPandas(read, _RECORD)
 
 
 def fetch(index: DataFrame, record_ids: DataFrame) -> DataFrame:
