@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicmart.llm import hosts, simhash, topk, warc
+from civicmart.llm import hosts, packing, simhash, topk, warc
 from civicmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,18 @@ def op5_simhash_tiles(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@registered
+def op7_mixture_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens at the corpus's proportions."""
+    return packing.pack(table(spark, sf, "documents"), tokenizer_path()).drop("ids")
+
+
 @registered
 def op9_sorted_list_search(spark: SparkSession, sf: str) -> DataFrame:
     """The five best of all other vectors for every fiftieth vector."""

@@ -104,7 +104,9 @@ def write_archives(
         if bundle.index:
             yield bundle.taken()
 
-    return staged(records.mapInPandas(write, _INDEX), "warc-index")
+    # Keys go as text, because a null would turn a batch's numbers into floating point.
+    text = records.withColumns({c: F.col(c).cast("string") for c in ("record_key", "refers_to")})
+    return staged(text.mapInPandas(write, _INDEX), "warc-index")
 
 
 def read_archives(index: DataFrame) -> DataFrame:
@@ -163,7 +165,7 @@ class _Bundle:
         record_id, text = _record(row)
         if self.frame and len(self.frame) + len(text) > self.frame_bytes:
             self._end_frame()
-        key = None if pd.isna(row.record_key) else int(row.record_key)
+        key = None if row.record_key is None else int(row.record_key)
         self.index.append((record_id, key, self.name, len(self.table), len(self.frame), len(text)))
         self.frame += text
         if len(self.frame) >= self.frame_bytes:
@@ -247,7 +249,7 @@ def record_id(key: int | None, digest: str) -> str:
 
 def _record(row) -> tuple[str, bytes]:
     """Identifier and bytes of a record.  A revisit has headers only."""
-    key = None if pd.isna(row.record_key) else int(row.record_key)
+    key = None if row.record_key is None else int(row.record_key)
     name = record_id(key, row.payload_digest)
     lines = [
         "WARC/1.1",
