@@ -82,3 +82,35 @@ SELECT query_id, rank, vec_id, score FROM (
          row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 WHERE rank <= 5
 """
+
+ORACLE["op2_benchmark_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row_no,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+w AS (
+  SELECT DISTINCT item_id, least(len(words), 13) AS size, words[i : i + least(len(words), 13) - 1] AS win
+  FROM b, LATERAL (SELECT unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i) WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT size FROM w),
+pos AS (
+  SELECT row_no, size, i AS start, words[i : i + size - 1] AS win
+  FROM d, sizes, LATERAL (SELECT unnest(range(1, greatest(len(words) - size + 2, 1))) AS i)),
+held AS (SELECT pos.row_no, pos.start, pos.size, w.item_id FROM pos JOIN w ON pos.size = w.size AND pos.win = w.win),
+hit AS (
+  SELECT row_no, count(DISTINCT word) AS n_hit
+  FROM (SELECT row_no, unnest(range(start, start + size)) AS word FROM (SELECT DISTINCT row_no, start, size FROM held))
+  GROUP BY row_no),
+items AS (
+  SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT row_no, item_id::VARCHAR AS item FROM held WHERE item_id IS NOT NULL) GROUP BY row_no)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hit USING (row_no) LEFT JOIN items USING (row_no)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicmart.llm import hosts, packing, simhash, topk, warc
+from civicmart.llm import decontaminate, hosts, packing, simhash, topk, warc
 from civicmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,20 @@ def op1_warc_bundles(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@registered
+def op2_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with the words that benchmark windows hit."""
+    found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        decontaminate.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
 def bad_pages(labels: DataFrame) -> DataFrame:
     """Labelled outcomes of pages: low quality or toxic is bad."""
     bad = (F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))).cast("int")
