@@ -71,15 +71,20 @@ def _bit_set(shingles: DataFrame, slots: int) -> Column:
         .groupBy(F.shiftright("slot", 6).alias("cell"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS int))")).alias("bits"))
     )
-    pairs = cells.agg(F.map_from_entries(F.collect_list(F.struct(F.col("cell").cast("int"), "bits"))).alias("m"))
-    filled = F.transform(F.sequence(F.lit(0), F.lit(slots // 64 - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0)))
-    return pairs.select(filled.alias("bits")).scalar()
+    every = shingles.sparkSession.range(slots // 64).select(F.col("id").alias("cell"))
+    dense = every.join(cells, "cell", "left").select("cell", F.coalesce("bits", F.lit(0)).alias("bits"))
+    ordered = F.array_sort(F.collect_list(F.struct("cell", "bits")))
+    return dense.agg(ordered.alias("c")).select(F.col("c.bits")).scalar()
 
 
 def marked_positions(
     docs: DataFrame, shingles: DataFrame, window: int = WINDOW_WORDS, width: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """(doc_id, text_hash, n_words, marks): where a document may hold a shingle, with the words around."""
+    """(doc_id, text_hash, n_words, at, shingle, from, around), in one pass over the texts.
+
+    A row with ``at`` 0 stands for the document; the others say where it may hold a shingle
+    and which words are around.
+    """
     count = shingles.select("shingle").distinct().count()
     slots = _FEWEST_SLOTS
     while slots < min(_MOST_SLOTS, count * _SLOTS_PER_SHINGLE):
@@ -87,38 +92,30 @@ def marked_positions(
     # At most ``width`` lengths: windows shorter than a shingle are shingles themselves.
     lengths = sorted(r[0] for r in shingles.select(F.least("size", F.lit(width))).distinct().collect())
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
-    none = F.array().cast("array<struct<at:int,shingle:bigint,from:int,around:array<string>>>")
-    if not lengths:
-        return rows.select("doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), none.alias("marks"))
-    rows = rows.withColumn("bits", _bit_set(shingles, slots))
-
-    def listed(shingle: Column) -> Column:
-        bits = [
-            F.getbit(F.get("bits", F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(63).cast("int")) == 1
-            for slot in _slots(shingle, slots)
-        ]
-        return bits[0] & bits[1]
-
-    def found(length: int) -> Column:
-        reach = window - length
-        places = F.when(
-            F.size("words") >= length, F.sequence(F.lit(1), F.size("words") - (length - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        hits = F.filter(places, lambda i: listed(F.xxhash64(F.slice("words", i, length))))
-
-        def mark(i: Column) -> Column:
-            start = F.greatest(i - reach, F.lit(1))
-            return F.struct(
-                i.alias("at"),
-                F.xxhash64(F.slice("words", i, length)).alias("shingle"),
-                start.alias("from"),
-                F.slice("words", start, i - start + length + reach).alias("around"),
-            )
-
-        return F.transform(hits, mark)
-
-    marks = F.concat(*[found(n) for n in lengths]) if len(lengths) > 1 else found(lengths[0])
-    return rows.select("doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), marks.alias("marks"))
+    last = F.size("words") if lengths else F.lit(0)
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+    rows = rows.withColumn("length", F.explode(F.array(*map(F.lit, lengths))) if len(lengths) > 1 else F.lit((lengths or [1])[0]))
+
+    at, length, n_words = F.col("at"), F.col("length"), F.size("words")
+    shingle = F.xxhash64(F.slice("words", F.greatest(at, F.lit(1)), length))
+    wanted = (at == 0) & (length == (lengths or [1])[0])
+    if lengths:
+        bit_set = _bit_set(shingles, slots)
+        wanted |= (at >= 1) & (at + length - 1 <= n_words)
+        for slot in _slots(shingle, slots):
+            cell, bit = F.shiftright(slot, 6).cast("int"), slot.bitwiseAND(63).cast("int")
+            wanted &= (at == 0) | (F.getbit(F.get(bit_set, cell), bit) == 1)
+    start = F.greatest(at - (window - length), F.lit(1))
+    around = F.slice("words", start, at - start + length + (window - length))
+    return rows.where(wanted).select(
+        "doc_id",
+        "text_hash",
+        n_words.cast("long").alias("n_words"),
+        "at",
+        shingle.alias("shingle"),
+        start.alias("from"),
+        F.when(at > 0, around).alias("around"),
+    )
 
 
 def contamination(
@@ -133,10 +130,7 @@ def contamination(
     marked = staged(marked_positions(docs, shingles, window, width), "marked")
     # Equal ids with equal texts have equal hits, so this pair is key enough for repeated rows.
     key = ["id", "text_hash"]
-    marks = marked.where(F.size("marks") > 0).select(
-        F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash", "n_words", F.explode("marks").alias("m")
-    )
-    marks = marks.select(*key, "n_words", "m.*")
+    marks = marked.where("at > 0").withColumn("id", F.coalesce("doc_id", F.lit(0)))
 
     # Rarity over all documents; a shingle that never occurs rules its windows out.
     counts = marks.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
@@ -174,7 +168,7 @@ def contamination(
         .groupBy(key)
         .agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
     )
-    rows = marked.select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash", "n_words")
+    rows = marked.where("at = 0").select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash", "n_words")
     return (
         rows.join(covered.join(items, key, "left"), key, "left")
         .withColumns(
