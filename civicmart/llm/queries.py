@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicmart.llm import decontaminate, hosts, packing, simhash, topk, warc
+from civicmart.llm import decontaminate, hosts, packing, pii, simhash, topk, warc
 from civicmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,22 @@ def op7_mixture_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), tokenizer_path()).drop("ids")
 
 
+@registered
+def op8_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    found = pii.spans(table(spark, sf, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, pii.KINDS),
+        F.sha2(pii.span_text("base"), 256).alias("base_sha256"),
+        pii.span_text("spans").alias("spans"),
+    )
+
+
 @registered
 def op9_sorted_list_search(spark: SparkSession, sf: str) -> DataFrame:
     """The five best of all other vectors for every fiftieth vector."""
