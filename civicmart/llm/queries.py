@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicmart.llm import decontaminate, hosts, packing, pii, simhash, topk, warc
+from civicmart.llm import decontaminate, hosts, packing, pii, quality, simhash, topk, warc
 from civicmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@registered
+def op6_weak_label_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Probabilities and verdict for every document."""
+    judged = quality.judged(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels"))
+    return judged.select(
+        "doc_id",
+        F.round("__p.low_quality", 4).alias("p_low_quality"),
+        F.round("__p.toxic", 4).alias("p_toxic"),
+        (~quality.is_rejected()).alias("keep"),
+    )
+
+
 @registered
 def op7_mixture_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens at the corpus's proportions."""
