@@ -20,6 +20,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import starmap
 from operator import eq
 
@@ -37,7 +38,10 @@ LABELLED_SHARE = 0.75
 DIMENSIONS = 1 << 18
 EPOCHS = 6
 REJECTED = 0.5
-_WEIGHTS_KEPT = 400_000
+LEAST_DOCUMENTS = 3
+POSITIVE_WEIGHTS = (1.0, 5.0)
+_PER_WORD = 4
+_WEIGHTS_KEPT = 200_000
 _DRAW = 1 << 30
 
 # Frequent short words of the four languages, and insults.
@@ -121,12 +125,16 @@ def posterior(vote: str, share: float, given: list) -> float:
 # ---- scorer ------------------------------------------------------------------------------
 
 
-def _slots(word: str) -> tuple[int, int, int]:
-    """Places of a word's features: itself, how it begins, its shape."""
+@lru_cache(maxsize=_WEIGHTS_KEPT)
+def _slots(word: str) -> tuple[int, ...]:
+    """Places of a word's features: itself, two lengths of how it begins, its shape."""
     low = word.lower()
-    shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"\d", "0", _UPPER.sub("A", word))))
-    keys = (f"w{low}", f"b{low[:5]}", f"s{shape}")
-    return tuple(zlib.crc32(k.encode()) % DIMENSIONS for k in keys)  # type: ignore[return-value]
+    if word.isalpha():
+        shape = "A" if word.isupper() else "a"
+    else:
+        shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"\d", "0", _UPPER.sub("A", word))))
+    keys = (f"w{low}", f"b{low[:4]}", f"c{low[:6]}", f"s{shape}")
+    return tuple(zlib.crc32(k.encode()) % DIMENSIONS for k in keys)
 
 
 def _counted(text: str) -> tuple[Counter, int]:
@@ -144,7 +152,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct places and values: the root of a word's share of the text, for each feature."""
     counts, n = _counted(text)
     at = np.array([s for w in counts for s in _slots(w)], dtype=np.int32)
-    values = np.sqrt(np.repeat(np.fromiter(counts.values(), float, len(counts)), 3) / max(1, n))
+    values = np.sqrt(np.repeat(np.fromiter(counts.values(), float, len(counts)), _PER_WORD) / max(1, n))
     places, back = np.unique(at, return_inverse=True)
     return places, np.bincount(back, values, len(places)).astype(np.float32)
 
@@ -186,17 +194,25 @@ def train(rows: pd.DataFrame, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndar
     """Logistic weights of both heads by AdaGrad.
 
     ``rows``: (places, values, bad, toxic); a target that is NaN leaves its head alone.
+    Features of fewer than ``LEAST_DOCUMENTS`` rows are left out, as they only memorise.
     """
+    met = np.zeros(DIMENSIONS, np.int64)
+    for at in rows["places"]:
+        met[at] += 1
     weights, bias = np.zeros((2, DIMENSIONS), np.float32), np.zeros(2)
     for head, target in enumerate(("bad", "toxic")):
         mine = rows[rows[target].notna()]
         squares, bias_square = np.full(DIMENSIONS, 1e-4, np.float32), 1e-4
         order = np.random.default_rng(0)
         places, values, wanted = (mine[c].to_list() for c in ("places", "values", target))
+        shared = [met[at] >= LEAST_DOCUMENTS for at in places]
+        places = [at[k] for at, k in zip(places, shared)]
+        values = [x[k] for x, k in zip(values, shared)]
         for _ in range(epochs):
             for i in order.permutation(len(mine)):
                 at, x = places[i], values[i]
                 error = _sigmoid(float(weights[head, at] @ x) + bias[head]) - wanted[i]
+                error *= 1 + (POSITIVE_WEIGHTS[head] - 1) * wanted[i]
                 slope = error * x
                 squares[at] += slope * slope
                 weights[head, at] -= 0.3 * slope / np.sqrt(squares[at])
