@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicmart.session import scratch_dir
@@ -48,5 +46,19 @@ def _after_scheme(url: Column) -> Column:
     return F.when(at > 0, F.substring(url, at + 3, F.char_length(url))).otherwise("")
 
 
-def missing(df: DataFrame, columns: Iterable[str]) -> list[str]:
-    return [c for c in columns if c not in df.columns]
+def running_before(rows: DataFrame, keys: list[str], chunks: list[str], order: list[str], value: str) -> DataFrame:
+    """Add ``before``: the sum of ``value`` over earlier rows of the same keys.
+
+    ``chunks`` go from coarse to fine and must follow ``order``.  Rows are summed by the
+    finest chunk, chunks by the next, so no window holds more than one chunk's rows.
+    """
+    *coarser, finest = chunks if chunks else [None]
+    earlier = Window.partitionBy(*keys, *chunks).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = rows.withColumn("before", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
+    if finest is None:
+        return inside
+    sums = rows.groupBy(*keys, *chunks).agg(F.sum(value).alias("chunk_sum"))
+    sums = running_before(sums, keys, coarser, [finest], "chunk_sum")
+    sums = sums.select(*keys, *chunks, F.col("before").alias("chunk_before"))
+    joined = inside.join(sums, [*keys, *chunks])
+    return joined.withColumn("before", F.col("before") + F.col("chunk_before")).drop("chunk_before")

@@ -23,19 +23,22 @@ no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 import unicodedata
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, compress, filterfalse, repeat
+from operator import is_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import staged
+from civicmart.llm.common import running_before, staged
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 2
@@ -46,6 +49,7 @@ SHARDS_PER_BLOCK = 4096
 _CLOSE = 1e-6
 WORDS_KEPT = 500_000
 RUNS_KEPT = 300_000
+_TEXTS = 1024
 
 
 # ---- tokens ------------------------------------------------------------------------------
@@ -79,39 +83,37 @@ class WordTokens:
         self.width = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
+        self.words_met, self.runs_met = _Met(), _Met()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned numbers of ``width``."""
         split = [self._split(t) for t in texts]
-        new: set[str] = set()
-        for words in split:
-            if words is not None:
-                new.update(words)
-        new.difference_update(self.words)
-        extra = self._tokenized(new)
-        if len(self.words) + len(extra) <= WORDS_KEPT:
-            self.words.update(extra)
-            extra = {}
+        # One look-up per word, as most of the time goes into reaching the words' memory.
+        get = self.words.get
+        held = [None if words is None else list(map(get, words)) for words in split]
+        lacking = [() if v is None else compress(w, map(is_, v, repeat(None))) for w, v in zip(split, held)]
+        found = self._tokenized(set(chain.from_iterable(lacking)))
+        for word in self.words_met.again(found, WORDS_KEPT - len(self.words)):
+            self.words[word] = found[word]
         out = []
-        for text, words in zip(texts, split):
+        for text, words, values in zip(texts, split, held):
             if words is None:
                 out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, self.width).tobytes())
-            elif extra:
-                out.append(b"".join([extra[w] if w in extra else self.words[w] for w in words]))
             else:
-                out.append(b"".join(map(self.words.__getitem__, words)))
+                out.append(b"".join([found[w] if v is None else v for w, v in zip(words, values)]))
         return out
 
     def _split(self, text: str) -> list[str] | None:
         if "<|" in text or not self._PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
             return None
-        return text.replace("\n", " ").replace("\t", " ").split(" ")
+        return text.lower().replace("\n", " ").replace("\t", " ").split(" ")
 
     def _tokenized(self, words: set[str]) -> dict[str, bytes]:
-        cut = {w: self._RUNS.findall(w.lower()) for w in words}
-        new = sorted({r for runs in cut.values() for r in runs}.difference(self.runs))
+        letters = set(filter(str.isalpha, words))
+        cut = {w: self._RUNS.findall(w) for w in words.difference(letters)}
+        new = list(set(filterfalse(self.runs.__contains__, chain(letters, *cut.values()))))
         if new:
             ids = np.array(self.bare.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, self.width)
             ends = np.flatnonzero(self.last[ids]) + 1
@@ -122,12 +124,34 @@ class WordTokens:
             found = {r: whole[a:b] for r, a, b in zip(new, at, at[1:])}
         else:
             found = {}
-        if len(self.runs) + len(found) <= RUNS_KEPT:
-            self.runs.update(found)
-            found = {}
-        kept = self.runs
-        return {w: b"".join([found[r] if r in found else kept[r] for r in runs]) for w, runs in cut.items()}
+        known = self.runs
+        out = {w: found[w] if w in found else known[w] for w in letters}
+        for word, runs in cut.items():
+            out[word] = b"".join([found[r] if r in found else known[r] for r in runs])
+        for run in self.runs_met.again(found, RUNS_KEPT - len(known)):
+            known[run] = found[run]
+        return out
+
+
+class _Met:
+    """Which words were met before, by a bit of their hash.
+
+    Most distinct words occur once, so a word is kept from its second batch on.  A
+    mistaken bit only keeps a word early.
+    """
 
+    _BITS = 1 << 24
+
+    def __init__(self):
+        self.bits = np.zeros(self._BITS, bool)
+
+    def again(self, words: Iterable[str], room: int) -> list[str]:
+        """At most ``room`` of the words, all of which were met before."""
+        words = list(words)
+        at = np.fromiter(map(hash, words), np.int64, len(words)) & (self._BITS - 1)
+        known = np.flatnonzero(self.bits[at])[: max(0, room)]
+        self.bits[at] = True
+        return [words[i] for i in known]
 
 
 _loaded: dict[str, WordTokens] = {}
@@ -149,8 +173,12 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_token: int = END_TOKEN)
         end = np.array([end_token], tokens.width).tobytes()
         values = texts.fillna("").tolist()
         out: list[bytes] = []
-        for low in range(0, len(values), 512):
-            out.extend(x + end for x in tokens.encode(values[low : low + 512]))
+        gc.disable()  # the caches hold no cycles, and walking them for each batch is slow
+        try:
+            for low in range(0, len(values), _TEXTS):
+                out.extend(x + end for x in tokens.encode(values[low : low + _TEXTS]))
+        finally:
+            gc.enable()
         return pd.Series(out, dtype=object)
 
     width = np.dtype(WordTokens(tokenizer_path).width).itemsize
@@ -162,24 +190,6 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_token: int = END_TOKEN)
 # ---- the stream --------------------------------------------------------------------------
 
 
-def _running_before(rows: DataFrame, keys: list[str], chunks: list[str], order: list[str], value: str) -> DataFrame:
-    """Add ``before``: the sum of ``value`` over earlier rows of the same keys.
-
-    ``chunks`` go from coarse to fine and must follow ``order``.  Rows are summed by the
-    finest chunk, chunks by the next, so no window holds more than one chunk's rows.
-    """
-    *coarser, finest = chunks if chunks else [None]
-    earlier = Window.partitionBy(*keys, *chunks).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    inside = rows.withColumn("before", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
-    if finest is None:
-        return inside
-    sums = rows.groupBy(*keys, *chunks).agg(F.sum(value).alias("chunk_sum"))
-    sums = _running_before(sums, keys, coarser, [finest], "chunk_sum")
-    sums = sums.select(*keys, *chunks, F.col("before").alias("chunk_before"))
-    joined = inside.join(sums, [*keys, *chunks])
-    return joined.withColumn("before", F.col("before") + F.col("chunk_before")).drop("chunk_before")
-
-
 def queue_positions(rows: DataFrame) -> DataFrame:
     """(row_id, source, n, before): where each document stands in its source's queue."""
     bits = max(0, math.ceil(math.log2(max(1, rows.count()) / CHUNK_ROWS)))
@@ -194,7 +204,7 @@ def queue_positions(rows: DataFrame) -> DataFrame:
         }
     )
     narrow = narrow.withColumn("chunks", F.shiftright("chunk", bits // 2))
-    queued = _running_before(narrow, ["source"], ["chunks", "chunk"], ["h", "doc_id", "row_id"], "n")
+    queued = running_before(narrow, ["source"], ["chunks", "chunk"], ["h", "doc_id", "row_id"], "n")
     return queued.select("row_id", "source", "n", "before")
 
 
@@ -279,7 +289,7 @@ def pieces(rows: DataFrame, shared: DataFrame, window: int, shard_tokens: int) -
     )
     starts = queued.groupBy("shard").agg(F.sum("n").alias("n"))
     starts = starts.withColumns({"block": F.floor(F.col("shard") / SHARDS_PER_BLOCK), "all": F.lit(0)})
-    starts = _running_before(starts, ["all"], ["block"], ["shard"], "n").select("shard", F.col("before").alias("base"))
+    starts = running_before(starts, ["all"], ["block"], ["shard"], "n").select("shard", F.col("before").alias("base"))
     return served.join(starts, "shard").select("row_id", "start", "length", (F.col("base") + F.col("place")).alias("at"))
 
 
