@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicmart.llm import decontaminate, hosts, packing, pii, quality, simhash, topk, warc
+from civicmart.llm import decontaminate, hosts, packing, paragraphs, pii, quality, quotes, simhash, topk, warc
 from civicmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,13 @@ def op2_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@registered
+def op3_paragraph_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every passage that occurs again, with the first occurrence of its class."""
+    found = paragraphs.repeated_passages(table(spark, sf, "documents"))
+    return found.select("doc_id", "paragraph", "n_words", "first_doc_id", "first_paragraph", "removed")
+
+
 def bad_pages(labels: DataFrame) -> DataFrame:
     """Labelled outcomes of pages: low quality or toxic is bad."""
     bad = (F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))).cast("int")
@@ -120,3 +127,9 @@ def op9_sorted_list_search(spark: SparkSession, sf: str) -> DataFrame:
     """The five best of all other vectors for every fiftieth vector."""
     vectors = topk.quantised(table(spark, sf, "embeddings"))
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+@registered
+def op10_quotation_links(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations in reply order, without quotations."""
+    return quotes.reply_ordered(table(spark, sf, "conversations"))
