@@ -1,7 +1,8 @@
 """Repeated passages: MinHash banding over paragraphs, exact Jaccard, components.
 
-A document's lines are cut into paragraphs after sentences that a hash of the sentence
-picks, so the same passage is cut alike wherever it stands.  Paragraphs with equal words
+A document's lines are cut into paragraphs of ``LEAST_WORDS`` words or more, after
+sentences that a hash of the sentence picks, so that the cuts of a passage soon agree
+wherever it stands.  Paragraphs with equal words
 are one text.  Of each text's five-word shingles, ``BANDS`` bands of ``ROWS`` minima are
 compared: at a Jaccard similarity of 0.8 a pair shares a band with probability
 1 - (1 - 0.8**2)**8 = 0.9997.  Texts that share a band are compared by their exact shingle
@@ -13,8 +14,8 @@ A crowded band value is cut into tiles and each pair of tiles is compared on its
 comparison gives a spanning forest of its links, never all pairs.  Copies are counted
 once by their text before any of this, so no group of copies is ever gathered.
 
-Defined results: null and short texts have no paragraphs; paragraphs of fewer than
-``LEAST_WORDS`` words are left alone; repeated rows are copies of each other, as are
+Defined results: null and short texts have no paragraphs; what is left of a line after its
+last paragraph is left alone; repeated rows are copies of each other, as are
 repeats inside one document; ties go to the smaller id, then to the earlier paragraph; an
 empty table gives no rows; further columns are ignored.
 """
@@ -52,13 +53,11 @@ def paragraphs(text: str | None) -> Iterator[tuple[int, list[str]]]:
         words: list[str] = []
         for sentence in _SENTENCE.split(line):
             words += sentence.lower().split()
-            if zlib.crc32(sentence.encode()) & 1 and words:
-                if len(words) >= LEAST_WORDS:
-                    yield number, words
-                number, words = number + 1, []
-        if words:
-            if len(words) >= LEAST_WORDS:
+            if len(words) >= LEAST_WORDS and zlib.crc32(sentence.encode()) & 1:
                 yield number, words
+                number, words = number + 1, []
+        if len(words) >= LEAST_WORDS:
+            yield number, words
             number += 1
 
 
