@@ -20,13 +20,11 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import starmap
+from itertools import compress, starmap
 from operator import eq
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +39,8 @@ REJECTED = 0.5
 LEAST_DOCUMENTS = 3
 POSITIVE_WEIGHTS = (1.0, 5.0)
 _PER_WORD = 4
-_WEIGHTS_KEPT = 200_000
+_WEIGHTS_KEPT = 300_000
+_TEXTS = 512
 _DRAW = 1 << 30
 
 # Frequent short words of the four languages, and insults.
@@ -71,6 +70,11 @@ QUALITY_LABELERS = ("capitals", "signs", "bars", "variety", "stutter", "stop_wor
 TOXIC_LABELERS = ("insults",)
 
 
+def _variety(words: list[str]) -> float:
+    """The share of distinct words in blocks of a hundred, so that long texts do not look monotonous."""
+    return sum(len(set(words[i : i + 100])) for i in range(0, len(words), 100)) / len(words)
+
+
 def votes(text: str) -> str:
     """One sign per labeler."""
     words = text.split()
@@ -84,7 +88,7 @@ def votes(text: str) -> str:
         _three(upper / max(1, upper + lower), 0.15, 0.4),
         _three(len(_SIGNS.findall(text)) / n, 0.05, 0.3),
         _three(text.count("|") / n, 0.02, 0.2),
-        _three(len(set(plain)) / n, 0.45, 0.25) if n >= 40 else "-",
+        _three(_variety(plain), 0.45, 0.25) if n >= 40 else "-",
         _three(sum(starmap(eq, zip(words, words[1:]))) / n, 0.03, 0.15) if n >= 10 else "-",
         _three(sum(map(STOP_WORDS.__contains__, plain)) / n, 0.12, 0.03) if n >= 20 else "-",
         "1" if sum(map(INSULTS.__contains__, plain)) >= max(2, n / 200) else "-",
@@ -92,16 +96,19 @@ def votes(text: str) -> str:
     return "".join(out)
 
 
-def accuracies(
-    patterns: list[tuple[str, float]], rounds: int = 50
-) -> tuple[float, list[tuple[dict[str, float], dict[str, float]]]]:
+# How a labeler is taken to vote at the start, on good and on bad documents.  Bad documents
+# are of many kinds, of which a labeler knows one or two: it calls the others good.
+_START = ({"0": 0.96, "1": 0.04}, {"0": 0.45, "1": 0.55})
+
+
+def accuracies(patterns: list[tuple[str, float]], rounds: int = 50) -> tuple[float, list[tuple[dict, dict]]]:
     """Expectation-maximisation over (votes, count): the share of bad documents, and for every
-    labeler P(vote | good) and P(vote | bad).  The start takes each for right in 85 of 100."""
+    labeler P(vote | good) and P(vote | bad); to abstain says nothing."""
     width = len(patterns[0][0]) if patterns else 0
-    share, given = 0.2, [({"0": 0.85, "1": 0.15}, {"0": 0.15, "1": 0.85}) for _ in range(width)]
+    share, given = 0.2, [_START for _ in range(width)]
     total = sum(n for _, n in patterns)
     for _ in range(rounds if total else 0):
-        bad_sum, sums = 1.0, [({"0": 1.7, "1": 0.3}, {"0": 0.3, "1": 1.7}) for _ in range(width)]
+        bad_sum, sums = 1.0, [tuple(dict(side) for side in _START) for _ in range(width)]
         for vote, n in patterns:
             p = posterior(vote, share, given)
             bad_sum += n * p
@@ -125,7 +132,6 @@ def posterior(vote: str, share: float, given: list) -> float:
 # ---- scorer ------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=_WEIGHTS_KEPT)
 def _slots(word: str) -> tuple[int, ...]:
     """Places of a word's features: itself, two lengths of how it begins, its shape."""
     low = word.lower()
@@ -158,32 +164,43 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Scorer:
-    """A worker's weights by word, filled as words are met and bounded in number."""
+    """A worker's weights by word, a bounded number of which are kept; others are summed anew.
+
+    Both heads' weights of a word stand in a row of ``table``; ``rows`` says in which.
+    """
 
     def __init__(self, weights: np.ndarray, bias: np.ndarray):
         self.weights, self.bias = weights, bias
-        self.known: dict[str, tuple[float, float]] = {}
-
-    def word(self, word: str) -> tuple[float, float]:
-        got = self.known.get(word)
-        if got is None:
-            got = tuple(self.weights[:, list(_slots(word))].sum(axis=1).tolist())
-            if len(self.known) < _WEIGHTS_KEPT:
-                self.known[word] = got
-        return got
-
-    def probabilities(self, text: str | None) -> tuple[float, float]:
-        counts, n = _counted(text or "")
-        if not n:
-            return 1.0, 0.0
-        bad = toxic = 0.0
-        for w, c in counts.items():
-            one, other = self.word(w)
-            root = math.sqrt(c)
-            bad += root * one
-            toxic += root * other
-        scale = 1 / math.sqrt(n)
-        return _sigmoid(bad * scale + float(self.bias[0])), _sigmoid(toxic * scale + float(self.bias[1]))
+        self.rows: dict[str, int] = {}
+        self.table = np.zeros((0, 2))
+
+    def _summed(self, words: list[str]) -> np.ndarray:
+        at = np.array([_slots(w) for w in words], dtype=np.int64).reshape(-1, _PER_WORD)
+        return self.weights[:, at].sum(axis=2, dtype=np.float64).T
+
+    def probabilities(self, texts: list[str | None]) -> list[tuple[float, float]]:
+        counted = [_counted(t or "") for t in texts]
+        places = [np.fromiter((self.rows.get(w, -1) for w in c), np.int64, len(c)) for c, _ in counted]
+        lacking: dict[str, int] = {}
+        size = len(self.table)
+        for (counts, _), at in zip(counted, places):
+            gaps = at < 0
+            if gaps.any():
+                at[gaps] = [size + lacking.setdefault(w, len(lacking)) for w in compress(counts, gaps)]
+        new = list(lacking)
+        table = np.concatenate([self.table, self._summed(new)]) if new else self.table
+        room = max(0, _WEIGHTS_KEPT - size)
+        self.rows.update(zip(new[:room], range(size, size + room)))
+        self.table = table[: size + min(room, len(new))]
+        out = []
+        for (counts, n), at in zip(counted, places):
+            if n:
+                roots = np.sqrt(np.fromiter(counts.values(), float, len(counts)) / n)
+                bad, toxic = roots @ table[at] + self.bias
+                out.append((_sigmoid(bad), _sigmoid(toxic)))
+            else:
+                out.append((1.0, 0.0))
+        return out
 
 
 def _sigmoid(x: float) -> float:
@@ -202,6 +219,9 @@ def train(rows: pd.DataFrame, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndar
     weights, bias = np.zeros((2, DIMENSIONS), np.float32), np.zeros(2)
     for head, target in enumerate(("bad", "toxic")):
         mine = rows[rows[target].notna()]
+        if mine.empty:  # nothing was said, so nothing is rejected for it
+            bias[head] = -30.0
+            continue
         squares, bias_square = np.full(DIMENSIONS, 1e-4, np.float32), 1e-4
         order = np.random.default_rng(0)
         places, values, wanted = (mine[c].to_list() for c in ("places", "values", target))
@@ -276,25 +296,25 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
     rows = picked.select("text", "text_hash", "votes", "said").mapInPandas(
         featured, "text_hash long, votes string, said string, places array<int>, values array<float>"
     )
-    sample = rows.toArrow()
-    # A null id may stand for several texts, so the sample is put in order by what it holds.
-    rows = sample.select(["text_hash", "votes", "said"]).to_pandas()
-    rows["places"], rows["values"] = _lists(sample["places"]), _lists(sample["values"])
-    rows = rows.sort_values(["text_hash", "votes", "said"], ignore_index=True)
 
     def targets(heads: pd.Series, model: tuple) -> list[float]:
         return [posterior(x, *model) if x.strip("-") else math.nan for x in heads]
 
-    rows["bad"] = targets(rows["votes"].str[:q] + rows["said"].str[0], low)
-    rows["toxic"] = targets(rows["votes"].str[q:] + rows["said"].str[1], toxic)
-    return train(rows)
-
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(batches)
+        if not parts:
+            return
+        sample = pd.concat(parts, ignore_index=True).sort_values(["text_hash", "votes", "said"], ignore_index=True)
+        sample["bad"] = targets(sample["votes"].str[:q] + sample["said"].str[0], low)
+        sample["toxic"] = targets(sample["votes"].str[q:] + sample["said"].str[1], toxic)
+        weights, bias = train(sample)
+        yield pd.DataFrame({"weights": [weights.tobytes()], "bias": [bias.tobytes()]})
 
-def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
-    """Each list of the column as a view of one array."""
-    whole = column.combine_chunks()
-    ends, flat = whole.offsets.to_numpy(), whole.values.to_numpy()
-    return [flat[a:b] for a, b in zip(ends, ends[1:])]
+    # The sample is bounded, so one task trains on it; only the weights reach the driver.
+    row = rows.repartition(1).mapInPandas(fitted, "weights binary, bias binary").first()
+    if row is None:
+        return np.zeros((2, DIMENSIONS), np.float32), np.full(2, -30.0)
+    return np.frombuffer(row["weights"], np.float32).reshape(2, DIMENSIONS), np.frombuffer(row["bias"], np.float64)
 
 
 def judged(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -304,7 +324,10 @@ def judged(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) ->
     @F.pandas_udf("low_quality double, toxic double")
     def score(texts: pd.Series) -> pd.DataFrame:
         scorer = _scorer(model)
-        return pd.DataFrame([scorer.probabilities(t) for t in texts], columns=["low_quality", "toxic"])
+        values, out = texts.tolist(), []
+        for low in range(0, len(values), _TEXTS):
+            out += scorer.probabilities(values[low : low + _TEXTS])
+        return pd.DataFrame(out, columns=["low_quality", "toxic"])
 
     return docs.withColumn("__p", score("text"))
 
