@@ -21,7 +21,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     the files are in ``spark.checkpoint.dir``.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

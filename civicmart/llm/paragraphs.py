@@ -126,11 +126,15 @@ def _collisions(texts: DataFrame) -> DataFrame:
 
 def links(texts: DataFrame, similarity: float = SIMILARITY, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Edges (a, b) that connect the texts (text_id, said, bands) of at least this Jaccard similarity."""
-    met = _collisions(texts)
+    return _linked(_collisions(texts), texts, similarity, tile_rows)
+
+
+def _linked(met: DataFrame, wording: DataFrame, similarity: float, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """``links`` of texts that met in a band; ``wording`` has the words (text_id, said) of each of them."""
     key = ["band", "value"]
     cuts = met.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("cuts"))
     placed = met.join(cuts, key).withColumn("tile", F.pmod(F.xxhash64("text_id"), F.col("cuts")).cast("int"))
-    placed = placed.join(texts.select("text_id", "said"), "text_id")
+    placed = placed.join(wording.select("text_id", "said"), "text_id")
     each = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     each = each.select(
         *key, F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "text_id", "said"
@@ -187,10 +191,16 @@ def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     found = occurrences(docs)
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_id", "paragraph")
     texts = found.groupBy("text_id").agg(
-        F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("said").alias("said"), F.first("bands").alias("bands")
+        F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")
     )
     texts = staged(texts, "texts")
-    parts = components(links(texts, similarity)).select(F.col("node").alias("text_id"), "component")
+    met = _collisions(texts)
+    # Words move once, from the first occurrence of a text and only if the text met another.
+    spoken = texts.join(met.select("text_id").distinct(), "text_id", "left_semi").select(
+        "text_id", "first.row_id", "first.paragraph"
+    )
+    wording = found.select("text_id", "row_id", "paragraph", "said").join(spoken, ["text_id", "row_id", "paragraph"])
+    parts = components(_linked(met, wording, similarity)).select(F.col("node").alias("text_id"), "component")
     classed = texts.select("text_id", "first", "n").join(parts, "text_id", "left")
     classed = classed.where("n > 1 OR component IS NOT NULL").select(
         "text_id", "first", F.coalesce("component", "text_id").alias("component")
