@@ -158,11 +158,11 @@ def test_stitched_records_equal_the_whole_file_reader(spark, tmp_path):
             for i in range(400):
                 cell = "".join(draw.choice(pieces) for _ in range(draw.randrange(0, 60)))
                 writer.writerow([f"{name}{i}", cell, "x" if i % 3 else ""])
-    whole = read_csv(spark, str(tmp_path), file_column="f")
+    whole = read_csv(spark, str(tmp_path), multi_line=True, file_column="f")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        stitched = read_csv(spark, str(tmp_path), multi_line="auto", file_column="f", whole_file_limit=0)
+        stitched = read_csv(spark, str(tmp_path), file_column="f")
         assert stitched.columns == whole.columns
         got = sorted(map(tuple, stitched.collect()), key=repr)
         blocks = spark.read.text(str(tmp_path)).select("_metadata.file_block_start").distinct().count()
@@ -176,14 +176,33 @@ def test_stitched_records_equal_the_whole_file_reader(spark, tmp_path):
 def test_reading_plan(spark, tmp_path):
     (tmp_path / "plain.csv").write_text('x,y\n3,"d ""q"""\n4,""\n')
     (tmp_path / "open.csv").write_text('x,y\n1,"a\n""b"" c"\n')
+    (tmp_path / "inch.csv").write_text('x,y\n1,5" pipe\n2,6"\n')
     (tmp_path / "stray.csv").write_text('x,y\n1,5" pipe\n2,"a\nb"\n')
+    (tmp_path / "even.csv").write_text('x,y,z\n1,5","a\nb"\n')
+    plan = reading_plan(spark, str(tmp_path))
+    names = {way: sorted(f.rsplit("/", 1)[1] for f in files) for way, files in plan.items()}
+    assert names == {"split": ["inch.csv", "plain.csv"], "whole": ["even.csv", "stray.csv"], "stitch": ["open.csv"]}
 
-    def ways(limit):
-        plan = reading_plan(spark, str(tmp_path), limit)
-        return {way: sorted(f.rsplit("/", 1)[1] for f in files) for way, files in plan.items()}
 
-    assert ways(10**6) == {"split": ["plain.csv"], "whole": ["open.csv", "stray.csv"], "stitch": []}
-    assert ways(0) == {"split": ["plain.csv"], "whole": ["stray.csv"], "stitch": ["open.csv"]}
+def test_stray_quotes_give_the_records_of_the_whole_file_reader(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('w,x,y,z\n1,5" pipe,"multi\nline",6" pipe\n2,b,c,d\n')
+    (tmp_path / "b.csv").write_text('w,x,y,z\n3,5","multi\nline",6\n4,"p\nq",,\n')
+    whole, auto = (rows(read_csv(spark, str(tmp_path), multi_line=m)) for m in (True, "auto"))
+    assert auto == whole and len(auto) == 4
+
+
+def test_stitched_files_with_another_header_are_rejected(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n1,"a\nb"\n')
+    (tmp_path / "b.csv").write_text('y,x\n"c\nd",2\n')
+    with pytest.raises(Exception, match="header differs"):
+        read_csv(spark, str(tmp_path)).collect()
+    (tmp_path / "b.csv").write_text('y,x\nc,2\n')
+    with pytest.raises(ValueError, match="differ in their headers"):
+        read_csv(spark, str(tmp_path))
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "orc"])
