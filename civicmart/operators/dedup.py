@@ -43,18 +43,22 @@ def join_latest(
     right: DataFrame,
     key: str,
     newest: str,
-    spread: int = 64,
 ) -> DataFrame:
     """Left join on ``key`` with the newest ``right`` row of that key.
 
-    Rows without a key never match.  They get a spread number from their own
-    content as a second join key; otherwise all of them would meet in one task.
-    Matching rows carry 0 on both sides, and a hot key among them is split by
-    AQE because the right side holds one row per key.
+    Rows without a key never match.  They carry a hash of their own content beside
+    the missing key, so they spread over all tasks; rows with a key carry 0 on both
+    sides.  Key and hash travel as one struct: as two columns the optimizer would
+    fold the right side's constant and shuffle by the key alone.  A hot key among
+    the matching rows is split by AQE, because the right side holds one row per key.
     """
-    lane = "__lane"
+    place, none = "__place", F.lit(0).cast("bigint")
     latest = latest_per_key(right.filter(F.col(key).isNotNull()), [key], newest)
     others = [c for c in left.columns if c != key]
-    scattered = F.pmod(F.xxhash64(*others), F.lit(spread)) + 1
-    spread_left = left.withColumn(lane, F.when(F.col(key).isNull(), scattered).otherwise(F.lit(0).cast("bigint")))
-    return spread_left.join(latest.withColumn(lane, F.lit(0).cast("bigint")), [key, lane], "left").drop(lane)
+    # Never 0, so that a row without a key differs from every row on the right.
+    scattered = F.xxhash64(*others).bitwiseOR(F.lit(1).cast("bigint"))
+    lane = F.when(F.col(key).isNull(), scattered).otherwise(none)
+    placed = left.withColumn(place, F.struct(F.col(key).alias("key"), lane.alias("lane")))
+    matches = latest.withColumn(place, F.struct(F.col(key).alias("key"), none.alias("lane"))).drop(key)
+    joined = placed.join(matches, place, "left").drop(place)
+    return joined.select(key, *[c for c in joined.columns if c != key])

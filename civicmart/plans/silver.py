@@ -103,7 +103,12 @@ PROVINCE_PLACES = (
     "Greater Sudbury", "Thunder Bay", "Guelph", "London", "Barrie", "Brantford", "Peterborough",
     "Belleville", "Ottawa-Gatineau, Ontario part", "Toronto, Ontario",
 )
-PROVINCE_KEYWORDS = PROVINCE_PLACES[:16]
+# Places whose name anywhere in the text counts.
+PROVINCE_KEYWORDS = (
+    "Ontario", "Toronto", "Ottawa", "Hamilton", "Oshawa", "Kitchener", "St. Catharines", "Windsor",
+    "Greater Sudbury", "Thunder Bay", "Guelph", "London", "Barrie", "Brantford", "Peterborough",
+    "Belleville",
+)
 
 _BUILDING_TYPES = {
     "gross_floor_area_sqm": T.DoubleType(),
@@ -200,11 +205,14 @@ def building_permits(active: DataFrame, cleared: DataFrame, fill_null: bool = Fa
 
 
 def registrations(raw: DataFrame) -> DataFrame:
-    """Typed apartment registrations; a confirmed figure wins over the declared one."""
+    """Typed apartment registrations; a confirmed cell wins over the declared one, junk or not.
+
+    Without either column the figure is NULL.
+    """
 
     def confirmed(what: str) -> Column:
-        known = [c for c in (f"CONFIRMED_{what}", f"NO_OF_{what}") if c in raw.columns]
-        return F.coalesce(*[cells.as_int(c) for c in known])
+        known = [F.col(c) for c in (f"CONFIRMED_{what}", f"NO_OF_{what}") if c in raw.columns]
+        return cells.as_int(F.coalesce(*known, F.lit(None).cast("string")))
 
     return raw.select(
         *_cleaned(raw, REGISTRATION_CELLS, _kinds("apartment_buildings")),
