@@ -83,7 +83,8 @@ BUILDINGS = f"""registrations AS (
     CAST(s_nationkey AS VARCHAR) AS ward,
     CASE WHEN s_suppkey % 19 <> 0 THEN CAST(1950 + s_suppkey % 70 AS INTEGER) END AS year_built,
     2017 AS year_registered,
-    CAST(coalesce(CASE WHEN s_suppkey % 4 <> 0 THEN s_suppkey % 12 END, s_suppkey % 6) AS INTEGER) AS storeys,
+    TRY_CAST(coalesce(CASE WHEN s_suppkey % 29 = 5 THEN 'unk' WHEN s_suppkey % 4 <> 0
+      THEN CAST(s_suppkey % 12 AS VARCHAR) END, CAST(s_suppkey % 6 AS VARCHAR)) AS INTEGER) AS storeys,
     CAST(coalesce(CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey % 200 + 10 END, s_suppkey % 90 + 5) AS INTEGER)
       AS units,
     CASE WHEN s_suppkey % 2 = 0 THEN 'GAS' ELSE 'ELECTRIC' END AS heating_type, 'NONE' AS ac_type,
@@ -95,7 +96,9 @@ BUILDINGS = f"""registrations AS (
 evaluation_cells AS (
   SELECT CASE WHEN l_suppkey % 10 <> 3 THEN l_suppkey END AS rsn,
     CAST(year(l_shipdate) AS INTEGER) AS year_evaluated,
-    round(abs(l_discount) * 1000) AS eval_score, round(abs(l_tax) * 1000) AS proactive_score,
+    CASE WHEN l_suppkey % 25 <> 6 THEN CAST((l_suppkey * 20) % 120
+      - CASE WHEN (l_suppkey * 20) % 120 > 100 THEN 15 ELSE 0 END + l_linenumber % 2 AS DOUBLE) END AS eval_score,
+    round(abs(l_tax) * 1000) AS proactive_score,
     CASE WHEN l_partkey % 3 <> 0 THEN l_quantity END AS reactive_score,
     CAST(l_linenumber AS INTEGER) AS areas_evaluated,
     CAST(43 + l_partkey % 100 AS DOUBLE) AS latitude, CAST(-79 - l_suppkey % 100 AS DOUBLE) AS longitude
@@ -227,6 +230,21 @@ def _sum(column: str) -> str:
     return f"CAST(coalesce(sum({column}), 0) AS BIGINT) AS {column}"
 
 
+def _key_figures(permits: str, money: str, units: str) -> str:
+    """The key figures, each table cut by a condition."""
+    return f"""WITH {TRENDS}, {INVESTMENT[len(PERMITS) + 2:]}, {HOUSING[len(PERMITS) + 2:]}, {SCORECARD}, {OVERVIEW},
+    figures AS (SELECT (SELECT CAST(sum(permit_count) AS BIGINT) FROM trends {permits}) AS total_permits,
+      (SELECT sum(total_investment) FROM investment {money}) AS total_investment,
+      (SELECT CAST(sum(net_units) AS BIGINT) FROM housing {units}) AS net_units,
+      (SELECT avg(avg_eval_score) FROM scorecard) AS avg_score,
+      (SELECT CAST(sum(property_count) AS BIGINT) FROM overview) AS total_properties)
+    SELECT total_permits, {_r("total_investment", 2)} AS total_investment, net_units,
+      {_r("avg_score", 4)} AS avg_score, total_properties, {_count("total_permits")} AS total_permits_text,
+      {_currency("total_investment")} AS total_investment_text, {_count("net_units")} AS net_units_text,
+      printf('%.1f/100', avg_score) AS avg_score_text, {_count("total_properties")} AS total_properties_text
+    FROM figures"""
+
+
 SCORES = """SELECT CASE WHEN l_partkey % 17 <> 0 THEN round(abs(l_discount) * 1000) END AS score,
     l_extendedprice * pow(CAST(10 AS DOUBLE), l_linenumber - 4) AS cost FROM lineitem"""
 
@@ -248,6 +266,10 @@ ORACLE: dict[str, str] = {
           CAST(1 AS INTEGER) AS has_file, CAST(1 AS INTEGER) AS stamped FROM orders""",
     "csv_multiline_text": "SELECT doc_id, lang, source, md5(text) AS text_md5 FROM documents",
     "csv_stitched_text": "SELECT doc_id, lang, source, md5(text) AS text_md5 FROM documents",
+    "csv_stray_quotes": """
+        SELECT p_partkey AS id, p_size || '" pipe' AS size,
+          p_brand || CASE WHEN p_partkey % 2 = 1 THEN chr(10) || '"x", y' ELSE '' END AS brand, p_size || '"' AS inch
+        FROM part""",
     "bronze_missing_source": """
         SELECT CASE WHEN l_linestatus = 'O' THEN 'permits_active' ELSE 'permits_cleared' END AS table_name,
           count(*) AS rows, CAST(34 AS INTEGER) AS columns FROM lineitem GROUP BY 1""",
@@ -350,17 +372,19 @@ ORACLE: dict[str, str] = {
         SELECT l_returnflag, l_linenumber, {_r("median(l_extendedprice)", 4)} AS median_price
         FROM lineitem GROUP BY ALL""",
     "exact_median_overall": "SELECT quantile_disc(o_totalprice, 0.5) AS lower_median FROM orders",
-    "kpi_row": f"""WITH {TRENDS}, {INVESTMENT[len(PERMITS) + 2:]}, {HOUSING[len(PERMITS) + 2:]}, {SCORECARD}, {OVERVIEW},
-        figures AS (SELECT (SELECT CAST(sum(permit_count) AS BIGINT) FROM trends) AS total_permits,
-          (SELECT sum(total_investment) FROM investment) AS total_investment,
-          (SELECT CAST(sum(net_units) AS BIGINT) FROM housing) AS net_units,
-          (SELECT avg(avg_eval_score) FROM scorecard) AS avg_score,
-          (SELECT CAST(sum(property_count) AS BIGINT) FROM overview) AS total_properties)
-        SELECT total_permits, {_r("total_investment", 2)} AS total_investment, net_units,
-          {_r("avg_score", 4)} AS avg_score, total_properties, {_count("total_permits")} AS total_permits_text,
-          {_currency("total_investment")} AS total_investment_text, {_count("net_units")} AS net_units_text,
-          printf('%.1f/100', avg_score) AS avg_score_text, {_count("total_properties")} AS total_properties_text
-        FROM figures""",
+    "kpi_row": _key_figures("", "", ""),
+    "kpi_row_filtered": _key_figures(
+        f"WHERE {YEARS} AND {WARDS} AND permit_type IN ('A', 'R')", f"WHERE {YEARS} AND {WARDS}", f"WHERE {YEARS}"),
+    "permits_by_type_filtered": f"WITH {TRENDS} " + _total(
+        f"(SELECT * FROM trends WHERE {YEARS} AND {WARDS} AND permit_type IN ('A', 'R'))", "permit_type",
+        _sum("permit_count")),
+    "investment_by_category_filtered": f"WITH {INVESTMENT} " + _total(
+        f"(SELECT * FROM investment WHERE {YEARS} AND {WARDS})", "investment_category",
+        f"{_sum('project_count')}, {_r('sum(total_investment)', 2)} AS total_investment"),
+    "units_by_year_filtered": f"WITH {HOUSING} " + _total(
+        f"(SELECT * FROM housing WHERE {YEARS})", "application_year",
+        f"{_sum('units_created')}, -abs(CAST(coalesce(sum(units_lost), 0) AS BIGINT)) AS units_lost, "
+        f"{_sum('net_units')}"),
     "year_bounds": f"""WITH {TRENDS}
         SELECT min(application_year) AS first_year, max(application_year) AS last_year FROM trends""",
     "filter_options": f"""WITH {TRENDS}, {INDEX_TRENDS}

@@ -168,14 +168,57 @@ def _text_cells(spark: SparkSession, sf: str, **options) -> DataFrame:
 
 @registered
 def csv_multiline_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole document texts through CSV cells with quotes and line breaks."""
-    return _text_cells(spark, sf)
+    """Whole document texts through CSV cells with quotes and line breaks, a file a task."""
+    return _text_cells(spark, sf, multi_line=True)
 
 
 @registered
 def csv_stitched_text(spark: SparkSession, sf: str) -> DataFrame:
     """The same file read in splits, its records joined from physical lines."""
-    return _text_cells(spark, sf, multi_line="auto", whole_file_limit=0)
+    return _text_cells(spark, sf)
+
+
+@registered
+def csv_stray_quotes(spark: SparkSession, sf: str) -> DataFrame:
+    """Part files of lines with quotes inside unquoted cells, beside one with line breaks in quoted cells."""
+    path = scratch_dir(spark, "quotes")
+    line = F.concat_ws(",", "p_partkey", F.concat("p_size", F.lit('" pipe')), "p_brand", F.concat("p_size", F.lit('"')))
+    part = raw.table(spark, sf, "part")
+    lines = part.filter("p_partkey % 2 = 0").select(line.alias("id,size,brand,inch"))
+    lines.write.option("header", True).option("quote", "").option("sep", "\u0001").csv(path)
+    quoted = part.filter("p_partkey % 2 = 1").select(
+        F.col("p_partkey").alias("id"),
+        F.concat("p_size", F.lit('" pipe')).alias("size"),
+        F.concat("p_brand", F.lit('\n"x", y')).alias("brand"),
+        F.concat("p_size", F.lit('"')).alias("inch"),
+    )
+    quoted.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    return read_csv(spark, path).withColumn("id", cells.as_long("id"))
+
+
+@registered
+def kpi_row_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """The key figures of the chosen years, wards and kinds of permit."""
+    figures = serving.key_figures(
+        filtered_permits(spark, sf), filtered_investment(spark, sf), filtered_housing(spark, sf),
+        _scorecard(spark, sf), _overview(spark, sf),
+    )
+    return _rounded(_rounded(figures, 2, "total_investment"), 4, "avg_score")
+
+
+@registered
+def permits_by_type_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.permits_by_type(filtered_permits(spark, sf))
+
+
+@registered
+def investment_by_category_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(serving.investment_by_category(filtered_investment(spark, sf)), 2, "total_investment")
+
+
+@registered
+def units_by_year_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.units_by_year(filtered_housing(spark, sf))
 
 
 @registered

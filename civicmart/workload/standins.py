@@ -95,7 +95,8 @@ def registration_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case when s_suppkey % 19 = 0 then '' else cast(1950 + s_suppkey % 70 as string) end as YEAR_BUILT",
         "'2017' as YEAR_REGISTERED",
         "case when s_suppkey % 3 <> 0 then cast(s_suppkey % 200 + 10 as string) end as CONFIRMED_UNITS",
-        "case when s_suppkey % 4 <> 0 then cast(s_suppkey % 12 as string) end as CONFIRMED_STOREYS",
+        "case when s_suppkey % 29 = 5 then 'unk' when s_suppkey % 4 <> 0 then cast(s_suppkey % 12 as string)"
+        " end as CONFIRMED_STOREYS",
         "case when s_suppkey % 2 = 0 then 'GAS' else 'ELECTRIC ' end as HEATING_TYPE",
         "'NONE' as AIR_CONDITIONING_TYPE",
         "concat('M', s_suppkey % 9, 'A 1B', s_suppkey % 5) as PCODE",
@@ -109,12 +110,17 @@ def registration_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Whole scores by building, so that groups reach every tier, its edges and no score at all.
+SCORE_SQL = """case when l_suppkey % 25 = 6 then 'n/a'
+    else cast((l_suppkey * 20) % 120 - if((l_suppkey * 20) % 120 > 100, 15, 0) + l_linenumber % 2 as string) end"""
+
+
 def evaluation_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Building evaluations from lineitem, many per building and year."""
     return table(spark, sf_dir, "lineitem").selectExpr(
         "case when l_suppkey % 10 = 3 then '?' else cast(l_suppkey as string) end as RSN",
         "cast(year(l_shipdate) as string) as `YEAR EVALUATED`",
-        "cast(round(abs(l_discount) * 1000) as string) as `CURRENT BUILDING EVAL SCORE`",
+        f"{SCORE_SQL} as `CURRENT BUILDING EVAL SCORE`",
         "cast(round(abs(l_tax) * 1000) as string) as `PROACTIVE BUILDING SCORE`",
         "case when l_partkey % 3 <> 0 then cast(l_quantity as string) end as `CURRENT REACTIVE SCORE`",
         "cast(l_linenumber as string) as `NO OF AREAS EVALUATED`",
