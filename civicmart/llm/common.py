@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,30 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, as Spark resolves it: tasks must not take it for one of their own disks."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def _file_system(name: str):
+    """File system and path of a qualified name, for binary files that no Spark reader or writer knows."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri("file://" + name.removeprefix("file:") if re.match("file:/[^/]", name) else name)
+
+
+def create_file(name: str):
+    files, path = _file_system(name)
+    files.create_dir(path.rpartition("/")[0], recursive=True)
+    return files.open_output_stream(path, compression=None)
+
+
+def open_file(name: str):
+    files, path = _file_system(name)
+    return files.open_input_file(path)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; every other character stays (``lower`` would change those too)."""
     plain = F.octet_length(text) == F.char_length(text)

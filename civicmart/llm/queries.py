@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicmart.llm import decontaminate, hosts, packing, paragraphs, pii, quality, quotes, simhash, topk, warc
+from civicmart.llm import decontaminate, hosts, packing, paragraphs, pii, quality, quotes, simhash, tokenfiles, topk, warc
 from civicmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +133,16 @@ def op9_sorted_list_search(spark: SparkSession, sf: str) -> DataFrame:
 def op10_quotation_links(spark: SparkSession, sf: str) -> DataFrame:
     """All conversations in reply order, without quotations."""
     return quotes.reply_ordered(table(spark, sf, "conversations"))
+
+
+def byte_tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@registered
+def op11_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents written as token files with directly addressable codes, and read back."""
+    index = tokenfiles.write_tokens(table(spark, sf, "documents"), byte_tokenizer_path())
+    return tokenfiles.with_crc32(tokenfiles.read_documents(index))
