@@ -114,3 +114,60 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM d LEFT JOIN hit USING (row_no) LEFT JOIN items USING (row_no)
 """
+
+ORACLE["op12_prefix_trie"] = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT DISTINCT conv_id,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295, [ascii(c)::BIGINT FOR c IN string_split(conv_id::VARCHAR, '')]),
+           lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+             lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 9 AS h
+  FROM turns),
+lent AS (
+  SELECT c.conv_id, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.pos <= c.h),
+own AS (SELECT t.conv_id, t.pos + 1000000000 AS pos, t.role, t.text FROM turns t JOIN convs c USING (conv_id) WHERE t.pos > c.h),
+rebuilt AS (SELECT * FROM lent UNION ALL SELECT * FROM own),
+paths AS (
+  SELECT c.conv_id, coalesce(list({'role': r.role, 'text': r.text} ORDER BY r.pos) FILTER (r.pos IS NOT NULL), []) AS path
+  FROM convs c LEFT JOIN rebuilt r USING (conv_id) GROUP BY c.conv_id),
+prefixes AS (SELECT conv_id, path, unnest(range(len(path) + 1)) AS depth FROM paths),
+nodes AS (
+  SELECT depth, path[:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), '') AS ends
+  FROM prefixes GROUP BY 1, 2),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+         (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.prefix[:n.depth] = n.prefix) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND n.depth > 0 AND n.prefix[:n.depth - 1] = p.prefix),
+below AS (
+  SELECT a.depth, a.conv_id, sum((b.n_children = 0)::INT) AS n_leaves,
+         sum((b.n_convs - 1) * CASE WHEN b.depth = 0 THEN 0 ELSE strlen(b.prefix[-1].text) END) AS saved
+  FROM linked a JOIN linked b ON b.depth >= a.depth AND b.prefix[:a.depth] = a.prefix GROUP BY 1, 2)
+SELECT l.conv_id, l.depth::BIGINT AS depth, l.parent_conv_id, l.n_convs, l.n_children, b.n_leaves::BIGINT AS n_leaves,
+       b.saved::BIGINT AS saved_tokens, sha256(l.ends) AS ends_sha256
+FROM linked l JOIN below b USING (depth, conv_id)
+"""
+
+ORACLE["op13_hard_negatives"] = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v, row_number() OVER () AS r
+  FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id, a.label = b.label AS same,
+         list_sum([x[1] * x[2] FOR x IN list_zip(a.v, b.v)])::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.v) = len(b.v)),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS n FROM pairs WHERE same QUALIFY n <= 5),
+met AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN pairs n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM met WHERE rank <= 5
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicmart.llm import decontaminate, hosts, packing, paragraphs, pii, quality, quotes, simhash, tokenfiles, topk, warc
-from civicmart.llm.common import table
+from civicmart.llm import decontaminate, hosts, negatives, packing, paragraphs, pii, quality, quotes, simhash, tokenfiles, topk, trie, warc
+from civicmart.llm.common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,3 +146,25 @@ def op11_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """All documents written as token files with directly addressable codes, and read back."""
     index = tokenfiles.write_tokens(table(spark, sf, "documents"), byte_tokenizer_path())
     return tokenfiles.with_crc32(tokenfiles.read_documents(index))
+
+
+@registered
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """All nodes of the trie of conversations that begin with the turns of every fifth one."""
+    turns = staged(trie.ordered_turns(table(spark, sf, "conversations")), "turns")
+    members = turns.where("pos = 1").select("conv_id")
+    bases = members.select(
+        "conv_id",
+        (F.col("conv_id") - F.col("conv_id") % 5).alias("base_id"),
+        (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).alias("h"),
+    )
+    return trie.prefix_trie(trie.grafted(turns, bases), members)
+
+
+@registered
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard negatives for every hundredth vector, some labels of which are changed."""
+    vectors = staged(negatives.labelled_vectors(table(spark, sf, "embeddings")), "labelled")
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", changed)
+    return negatives.mined(vectors, vectors.where(F.col("vec_id") % 100 == 0))
