@@ -45,7 +45,7 @@ END_TOKEN = 0
 CHUNK_BITS = 8
 RANK_BITS = 512
 FILE_TOKENS = 1 << 24
-CHUNKS_KEPT = 200_000
+CHUNKS_KEPT = 500_000
 _TEXTS = 512
 
 _MAGIC = b"TOKENDAC"
