@@ -2,22 +2,25 @@
 
 A document's lines are cut into paragraphs of ``LEAST_WORDS`` words or more, after
 sentences that a hash of the sentence picks, so that the cuts of a passage soon agree
-wherever it stands.  Paragraphs with equal words
-are one text.  Of each text's five-word shingles, ``BANDS`` bands of ``ROWS`` minima are
-compared: at a Jaccard similarity of 0.8 a pair shares a band with probability
-1 - (1 - 0.8**2)**8 = 0.9997.  Texts that share a band are compared by their exact shingle
-sets, and the links' components are the classes.  In every class the first occurrence
-stays; others are removed where they make up at least ``LEAST_RUN`` words in a row, so
-short common lines stay.
+wherever it stands; what is left of a line after its last cut goes with the paragraph
+before.  Paragraphs with equal words are one text.  Lines of fewer words are texts too,
+compared by their equality only.
+
+``tuned_bands`` chooses the bands: the fewest that reach a stated recall at the wanted
+similarity, and for those the most minima a band.  For a recall of 0.99 at a Jaccard
+similarity of 0.8 over five-word shingles these are 5 bands of 2 minima, with
+1 - (1 - 0.8**2)**5 = 0.994; pairs that are more alike are missed less often.  Texts that
+share a band are compared by their exact shingle sets, and the links' components are the
+classes.  In every class the first occurrence stays; others are removed where they make up
+at least ``least_run`` words in a row, so short common lines stay.
 
 A crowded band value is cut into tiles and each pair of tiles is compared on its own; a
 comparison gives a spanning forest of its links, never all pairs.  Copies are counted
 once by their text before any of this, so no group of copies is ever gathered.
 
-Defined results: null and short texts have no paragraphs; what is left of a line after its
-last paragraph is left alone; repeated rows are copies of each other, as are
-repeats inside one document; ties go to the smaller id, then to the earlier paragraph; an
-empty table gives no rows; further columns are ignored.
+Defined results: null and empty texts have no paragraphs; repeated rows are copies of each
+other, as are repeats inside one document; ties go to the smaller id, then to the earlier
+paragraph; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,27 +40,49 @@ from civicmart.llm.components import components, forest
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 8, 2
+RECALL = 0.99
 LEAST_WORDS = 8
 LEAST_RUN = 20
 TILE_ROWS = 256
+SLOTS = 1 << 20
+_MOST_BANDS, _MOST_ROWS = 64, 8
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
-_MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, _MOST_BANDS * _MOST_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def paragraphs(text: str | None) -> Iterator[tuple[int, list[str]]]:
-    """(number, words in small letters) of the paragraphs that are long enough."""
+def tuned_bands(similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int]:
+    """(bands, minima a band) for the wanted recall at this similarity.
+
+    One minimum a band needs the fewest bands but meets unlike texts too: two minima are the
+    least.  Of those, the fewest bands; with them, the most minima that keep the recall.
+    """
+
+    def reached(bands: int, rows: int) -> bool:
+        return 1 - (1 - similarity**rows) ** bands >= recall
+
+    bands = next(b for b in range(1, _MOST_BANDS + 1) if reached(b, 2) or b == _MOST_BANDS)
+    return bands, max(r for r in range(2, _MOST_ROWS + 1) if r == 2 or reached(bands, r))
+
+
+def paragraphs(text: str | None, least_words: int = LEAST_WORDS) -> Iterator[tuple[int, list[str]]]:
+    """(number, words in small letters) of the paragraphs; together they hold every word."""
     number = 0
     for line in (text or "").split("\n"):
+        held: list[str] = []  # cut off, but given only when more than a rest follows
         words: list[str] = []
         for sentence in _SENTENCE.split(line):
             words += sentence.lower().split()
-            if len(words) >= LEAST_WORDS and zlib.crc32(sentence.encode()) & 1:
-                yield number, words
-                number, words = number + 1, []
-        if len(words) >= LEAST_WORDS:
-            yield number, words
+            if len(words) >= least_words and zlib.crc32(sentence.encode()) & 1:
+                if held:
+                    yield number, held
+                    number += 1
+                held, words = words, []
+        if held and len(words) >= least_words:
+            yield number, held
+            number, held = number + 1, []
+        if held or words:
+            yield number, held + words
             number += 1
 
 
@@ -65,8 +90,11 @@ def shingles(words: list[str]) -> frozenset[str]:
     return frozenset(" ".join(words[i : i + SHINGLE_WORDS]) for i in range(max(1, len(words) - SHINGLE_WORDS + 1)))
 
 
-def _bands(word_hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """A row of band values for each paragraph, from the hashes of all their words in a row."""
+def _bands(word_hashes: np.ndarray, lengths: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A row of band values for each paragraph, from the hashes of all their words in a row.
+
+    The number of the band is part of its value.
+    """
     mixed = np.zeros(len(word_hashes), np.uint64)
     for i in range(SHINGLE_WORDS):
         shifted = word_hashes if i == 0 else np.concatenate([word_hashes[i:], np.zeros(i, np.uint64)])
@@ -78,50 +106,70 @@ def _bands(word_hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     first = np.r_[0, np.cumsum(counts)[:-1]]
     at = np.repeat(starts - first, counts) + np.arange(counts.sum())
     mixed = mixed[at]
-    minima = np.stack([np.minimum.reduceat(mixed * m, first) for m in _MULTIPLIERS], axis=1)
-    out = np.zeros((len(lengths), BANDS), np.uint64)
-    for r in range(ROWS):
-        out = (out ^ minima[:, r::ROWS]) * _MIX
+    minima = np.stack([np.minimum.reduceat(mixed * m, first) for m in _MULTIPLIERS[: bands * rows]], axis=1)
+    out = np.arange(bands, dtype=np.uint64) * _MIX
+    for r in range(rows):
+        out = (out ^ minima[:, r::rows]) * _MIX
         out ^= out >> np.uint64(31)
     return out.view(np.int64)
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """(row_id, doc_id, paragraph, n_words, text_id, said, bands), written once."""
+def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS, bands: int | None = None, rows: int | None = None) -> DataFrame:
+    """(row_id, doc_id, paragraph, n_words, text_id, said, bands), written once; short lines have no bands."""
     import xxhash
 
+    if bands is None or rows is None:
+        bands, rows = tuned_bands()
+    # A text with bands has a shingle of whole length.
+    banded = max(least_words, SHINGLE_WORDS)
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for low in range(0, len(batch), 512):
                 part = batch.iloc[low : low + 512]
-                rows, words = [], []
+                found, words = [], []
                 for row, doc, text in zip(part["row_id"], part["doc"], part["text"]):
-                    for number, said in paragraphs(text):
+                    for number, said in paragraphs(text, least_words):
                         joined = " ".join(said)
-                        rows.append((row, doc, number, len(said), xxhash.xxh3_64_intdigest(joined.encode()), joined))
-                        words += said
-                if not rows:
+                        found.append((row, doc, number, len(said), xxhash.xxh3_64_intdigest(joined.encode()), joined))
+                        if len(said) >= banded:
+                            words += said
+                if not found:
                     continue
-                out = pd.DataFrame(rows, columns=["row_id", "doc", "paragraph", "n_words", "text_id", "said"])
+                out = pd.DataFrame(found, columns=["row_id", "doc", "paragraph", "n_words", "text_id", "said"])
+                out["text_id"] = out["text_id"].to_numpy(np.uint64).view(np.int64)
+                lengths = out["n_words"].to_numpy()
+                long = lengths >= banded
                 known = {w: xxhash.xxh3_64_intdigest(w.encode()) for w in set(words)}
                 hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-                out["text_id"] = out["text_id"].to_numpy(np.uint64).view(np.int64)
-                out["bands"] = list(_bands(hashes, out["n_words"].to_numpy()))
+                banded_rows = iter(_bands(hashes, lengths[long], bands, rows) if long.any() else ())
+                out["bands"] = [next(banded_rows) if has else None for has in long.tolist()]
                 yield out
 
     # Ids go as text, because a null would turn a batch's ids into floating point numbers.
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("string").alias("doc"), "text")
+    texts = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("string").alias("doc"), "text")
     schema = "row_id long, doc string, paragraph int, n_words int, text_id long, said string, bands array<long>"
-    found = rows.mapInPandas(cut, schema).withColumn("doc_id", F.col("doc").cast("long")).drop("doc")
+    found = texts.mapInPandas(cut, schema).withColumn("doc_id", F.col("doc").cast("long")).drop("doc")
     return staged(found, "paragraphs")
 
 
 def _collisions(texts: DataFrame) -> DataFrame:
-    """(band, value, text_id) of the band values that two or more texts share."""
-    entries = texts.select("text_id", F.posexplode("bands").alias("band", "value"))
-    sizes = entries.groupBy("band", "value").agg(F.min("text_id").alias("low"), F.max("text_id").alias("high"))
-    shared = sizes.where("low < high").select("band", "value")
-    return staged(entries.join(shared, ["band", "value"], "left_semi"), "collisions")
+    """(value, text_id) of the band values that two or more texts share."""
+    entries = texts.select("text_id", F.explode("bands").alias("value"))
+    sizes = entries.groupBy("value").agg(F.min("text_id").alias("low"), F.max("text_id").alias("high"))
+    shared = sizes.where("low < high").select("value")
+    return staged(entries.join(shared, "value", "left_semi"), "collisions")
+
+
+def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose ``text_id`` may be among ``ids``, told by one of ``SLOTS`` slots.
+
+    Spares the exact join after it the shuffle of most rows.  At most ``SLOTS`` small
+    numbers are broadcast, however many ids there are.
+    """
+    slot = F.pmod(F.xxhash64("text_id"), F.lit(SLOTS)).cast("int")
+    slots = ids.select(slot.alias("slot")).distinct()
+    return rows.join(F.broadcast(slots), slot == F.col("slot"), "left_semi")
 
 
 def links(texts: DataFrame, similarity: float = SIMILARITY, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -131,7 +179,7 @@ def links(texts: DataFrame, similarity: float = SIMILARITY, tile_rows: int = TIL
 
 def _linked(met: DataFrame, wording: DataFrame, similarity: float, tile_rows: int = TILE_ROWS) -> DataFrame:
     """``links`` of texts that met in a band; ``wording`` has the words (text_id, said) of each of them."""
-    key = ["band", "value"]
+    key = ["value"]
     cuts = met.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("cuts"))
     placed = met.join(cuts, key).withColumn("tile", F.pmod(F.xxhash64("text_id"), F.col("cuts")).cast("int"))
     placed = placed.join(wording.select("text_id", "said"), "text_id")
@@ -157,7 +205,7 @@ def _linked(met: DataFrame, wording: DataFrame, similarity: float, tile_rows: in
 
 def _compared(rows: pd.DataFrame, order: list[str], similarity: float) -> pd.DataFrame:
     out: list[tuple[int, int]] = []
-    for (_, _, a, b), group in rows.groupby(order, sort=False):
+    for (_, a, b), group in rows.groupby(order, sort=False):
         sets = [shingles(s.split(" ")) for s in group["said"]]
         ids, tiles = group["text_id"].tolist(), group["tile"].tolist()
         if a == b:
@@ -182,38 +230,42 @@ def _compared(rows: pd.DataFrame, order: list[str], similarity: float) -> pd.Dat
     return pd.DataFrame(np.array(forest(out), dtype=np.int64).reshape(-1, 2), columns=["a", "b"])
 
 
-def repeated_passages(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Paragraphs that occur again, exactly or nearly, in runs of at least ``LEAST_RUN`` words.
+def repeated_passages(
+    docs: DataFrame, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN, recall: float = RECALL
+) -> DataFrame:
+    """Paragraphs that occur again, exactly or nearly, in runs of at least ``least_run`` words.
 
     (row_id, doc_id, paragraph, n_words, said, first_doc_id, first_paragraph, removed): the
-    first occurrence of the class, and whether this one goes.
+    first occurrence of the class, and whether this one goes.  Lines of fewer than ``least_words``
+    words are compared by equality; ``recall`` is that of the bands at ``similarity``.
     """
-    found = occurrences(docs)
+    found = occurrences(docs, least_words, *tuned_bands(similarity, recall))
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_id", "paragraph")
     texts = found.groupBy("text_id").agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")
     )
     texts = staged(texts, "texts")
     met = _collisions(texts)
+    ids = staged(met.select("text_id").distinct(), "met")
     # Words move once, from the first occurrence of a text and only if the text met another.
-    spoken = texts.join(met.select("text_id").distinct(), "text_id", "left_semi").select(
-        "text_id", "first.row_id", "first.paragraph"
-    )
-    wording = found.select("text_id", "row_id", "paragraph", "said").join(spoken, ["text_id", "row_id", "paragraph"])
+    spoken = _likely(texts.drop("bands"), ids).join(ids, "text_id", "left_semi")
+    spoken = staged(spoken, "spoken")
+    places = spoken.select("text_id", "first.row_id", "first.paragraph")
+    wording = _likely(found, ids).select("text_id", "row_id", "paragraph", "said").join(places, ["text_id", "row_id", "paragraph"])
     parts = components(_linked(met, wording, similarity)).select(F.col("node").alias("text_id"), "component")
-    classed = texts.select("text_id", "first", "n").join(parts, "text_id", "left")
-    classed = classed.where("n > 1 OR component IS NOT NULL").select(
-        "text_id", "first", F.coalesce("component", "text_id").alias("component")
-    )
-    classed = staged(classed, "classes")
+    # Texts that occur again as they are, and those that met a near copy.
+    again = texts.where("n > 1").select("text_id", "first", "n").union(spoken.where("n = 1").select("text_id", "first", "n"))
+    classed = again.join(parts, "text_id", "left").where("n > 1 OR component IS NOT NULL")
+    classed = staged(classed.select("text_id", "first", F.coalesce("component", "text_id").alias("component")), "classes")
     heads = classed.groupBy("component").agg(F.min("first").alias("head"))
     classed = staged(classed.join(heads, "component").select("text_id", "head"), "heads")
-    again = found.select("row_id", "doc_id", "paragraph", "n_words", "said", "text_id").join(classed, "text_id")
+    occurring = _likely(found, classed).select("row_id", "doc_id", "paragraph", "n_words", "said", "text_id")
+    occurring = occurring.join(classed, "text_id")
     by_place = Window.partitionBy("row_id").orderBy("paragraph")
-    again = again.withColumn("run", F.col("paragraph") - F.row_number().over(by_place))
-    again = again.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("row_id", "run")))
+    occurring = occurring.withColumn("run", F.col("paragraph") - F.row_number().over(by_place))
+    occurring = occurring.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("row_id", "run")))
     is_first = (F.col("head.row_id") == F.col("row_id")) & (F.col("head.paragraph") == F.col("paragraph"))
-    return again.where(F.col("run_words") >= LEAST_RUN).select(
+    return occurring.where(F.col("run_words") >= least_run).select(
         "row_id",
         "doc_id",
         "paragraph",
