@@ -12,6 +12,13 @@ SELECT page_id, n::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
 FROM m
 """
 
+ORACLE["warc_contents"] = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
+m AS (SELECT *, strlen(payload) AS n, min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+SELECT page_id, url, n::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM m
+WHERE n < 100 OR page_id IS NOT DISTINCT FROM first OR first IS NULL
+"""
+
 ORACLE["op4_host_reputation"] = """
 WITH cut AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),

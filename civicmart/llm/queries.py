@@ -40,6 +40,19 @@ def op1_warc_bundles(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@registered
+def warc_contents(spark: SparkSession, sf: str) -> DataFrame:
+    """The record that holds each page's content, fetched from the bundles by its identifier."""
+    pages = table(spark, sf, "pages").select(
+        F.col("page_id").alias("record_key"), "url", F.encode("html", "UTF-8").alias("payload")
+    )
+    records = warc.with_revisits(pages)
+    index = warc.write_archives(records)
+    holder = F.coalesce("refers_to", "record_key")
+    wanted = records.select(warc.identifier(holder, F.col("payload_digest")).alias("record_id"))
+    return warc.fetch(index, wanted).select(F.col("record_key").alias("page_id"), "url", "payload_bytes", "payload_digest")
+
+
 @registered
 def op2_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with the words that benchmark windows hit."""

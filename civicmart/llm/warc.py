@@ -14,7 +14,8 @@ speculative task leaves unused files behind but never a wrong or double record.
 Defined results: a null payload is empty; a null key is written and read back as
 null and counts as larger than any key; rows that repeat the smallest key of equal
 payloads are all responses; an empty table gives an empty index and no bundle; a
-record longer than a frame gets a frame of its own; further columns are ignored.
+record longer than a frame gets a frame of its own; further columns are ignored.  A bundle
+that is cut off, and a record whose payload has not the digest that it states, are errors.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import staged
+from civicmart.llm.common import create_file, open_file, qualified, staged
 from civicmart.session import scratch_dir
 
 FRAME_BYTES = 1 << 20
@@ -46,7 +47,7 @@ _ENTRY = struct.Struct("<II")
 _INDEX = "record_id string, record_key long, bundle string, frame int, offset long, length long"
 _RECORD = (
     "record_key long, url string, record_type string, refers_to long, payload_bytes long,"
-    " payload_digest string, payload binary, intact boolean"
+    " payload_digest string, payload binary"
 )
 
 
@@ -91,7 +92,8 @@ def write_archives(
     bundle_bytes: int = BUNDLE_BYTES,
 ) -> DataFrame:
     """Write the rows of ``with_revisits`` as bundles; return the index, one row per record."""
-    folder = folder or scratch_dir(records.sparkSession, "warc")
+    spark = records.sparkSession
+    folder = qualified(spark, folder or scratch_dir(spark, "warc"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bundle = _Bundle(folder, frame_bytes, bundle_bytes)
@@ -115,27 +117,36 @@ def read_archives(index: DataFrame) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name in batch["bundle"]:
-                with _open(name) as file:
+                with open_file(name) as file:
                     for start, packed, size in seek_table(file):
                         yield _records(_frame(file, start, packed, size))
 
-    bundles = index.select("bundle").distinct()
-    # A stated number of partitions, because adaptive merging sees only the short names.
-    return bundles.repartition(max(1, bundles.count()), "bundle").mapInPandas(read, _RECORD)
+    bundles = staged(index.select("bundle").distinct(), "warc-bundles")
+    # By ranges of a stated number: adaptive merging sees only the short names, and a hash deals unevenly.
+    return bundles.repartitionByRange(max(1, bundles.count()), "bundle").mapInPandas(read, _RECORD)
 
 
 def fetch(index: DataFrame, record_ids: DataFrame) -> DataFrame:
-    """The records with the given ``record_id``; of each bundle only the frames that hold one."""
+    """The records with the given ``record_id``; of each bundle only the frames that hold one.
+
+    Frames are dealt by bundle and frame, so a bundle with very many wanted records is shared by tasks.
+    """
     wanted = index.join(record_ids.select("record_id").distinct(), "record_id", "left_semi")
+    place = ["bundle", "frame", "offset"]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, text = None, b""
         for batch in batches:
-            for (name, number), rows in batch.groupby(["bundle", "frame"]):
-                with _open(name) as file:
-                    text = _frame(file, *seek_table(file)[number])
-                yield pd.concat([_records(text[o : o + n]) for o, n in zip(rows["offset"], rows["length"])])
+            found = []
+            for name, number, low, size in batch.itertuples(index=False):
+                if held != (name, number):
+                    with open_file(name) as file:
+                        held, text = (name, number), _frame(file, *seek_table(file)[number])
+                found.append(_records(text[low : low + size]))
+            yield pd.concat(found)
 
-    return wanted.repartition("bundle").mapInPandas(read, _RECORD)
+    dealt = wanted.select(*place, "length").repartitionByRange(*place[:2]).sortWithinPartitions(*place)
+    return dealt.mapInPandas(read, _RECORD)
 
 
 # ---- one bundle --------------------------------------------------------------------------
@@ -161,7 +172,7 @@ class _Bundle:
             context = TaskContext.get()
             attempt = f"{context.partitionId()}-{context.taskAttemptId()}" if context else "0-0"
             self.name = f"{self.folder}/bundle-{attempt}-{uuid.uuid4().hex}.warc.zst"
-            self.file = _create(self.name)
+            self.file = create_file(self.name)
         record_id, text = _record(row)
         if self.frame and len(self.frame) + len(text) > self.frame_bytes:
             self._end_frame()
@@ -198,26 +209,11 @@ class _Bundle:
         return out
 
 
-def _filesystem(name: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(name if "://" in name or name.startswith("/") else f"file://{name.removeprefix('file:')}")
-
-
-def _create(name: str):
-    files, path = _filesystem(name)
-    files.create_dir(path.rpartition("/")[0], recursive=True)
-    return files.open_output_stream(path, compression=None)
-
-
-def _open(name: str):
-    files, path = _filesystem(name)
-    return files.open_input_file(path)
-
-
 def seek_table(file) -> list[tuple[int, int, int]]:
     """(start, packed size, unpacked size) of every frame, from the footer alone."""
     end = file.size()
+    if end < _FOOTER.size:
+        raise ValueError("no seek table at the end of the bundle")
     file.seek(end - _FOOTER.size)
     count, descriptor, magic = _FOOTER.unpack(file.read(_FOOTER.size))
     if magic != _SEEKABLE_MAGIC or descriptor & 0x7C:
@@ -247,6 +243,11 @@ def record_id(key: int | None, digest: str) -> str:
     return f"<urn:record:{'' if key is None else key}:{digest[:16]}>"
 
 
+def identifier(key: Column, digest: Column) -> Column:
+    """``record_id`` as an expression."""
+    return F.concat(F.lit("<urn:record:"), F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), F.substring(digest, 1, 16), F.lit(">"))
+
+
 def _record(row) -> tuple[str, bytes]:
     """Identifier and bytes of a record.  A revisit has headers only."""
     key = None if row.record_key is None else int(row.record_key)
@@ -292,6 +293,8 @@ def _records(text: bytes) -> pd.DataFrame:
         stated = heads["WARC-Payload-Digest"].removeprefix("sha256:")
         digest = stated if payload is None else hashlib.sha256(payload).hexdigest()
         size = int(heads["X-Payload-Length"]) if payload is None else len(payload)
+        if digest != stated:
+            raise ValueError(f"the payload of {heads['WARC-Record-ID']} has not the stated digest")
         rows.append(
             (
                 _key(heads["WARC-Record-ID"]),
@@ -301,8 +304,7 @@ def _records(text: bytes) -> pd.DataFrame:
                 size,
                 digest,
                 payload,
-                digest == stated,
             )
         )
-    columns = "record_key url record_type refers_to payload_bytes payload_digest payload intact".split()
+    columns = "record_key url record_type refers_to payload_bytes payload_digest payload".split()
     return pd.DataFrame(rows, columns=columns).astype({"record_key": "Int64", "refers_to": "Int64"})
