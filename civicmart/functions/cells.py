@@ -5,11 +5,16 @@ A cell that does not parse becomes NULL; nothing here raises under ANSI mode.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SQFT_PER_SQM = 10.7639  # fixed value
 
+_EXACT = "decimal(28,9)"
+_MOST_EXACT = 1e13  # beyond it a quotient with four places no longer fits in a long
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -90,14 +95,50 @@ def or_zero(c: Column | str) -> Column:
 
 
 def rounded(c: Column | str, digits: int) -> Column:
-    """Half-up rounding that ignores floating noise below the sixth decimal.
+    """Half-up rounding of a number as it is written in decimals."""
+    return F.round(_col(c).cast("double"), digits)
+
+
+def exact(c: Column | str) -> Column:
+    """The cell as a decimal of nine places; NULL beyond 19 digits before the point."""
+    return _col(c).try_cast(_EXACT)
+
+
+def _exact_total(c: Column | str) -> Column:
+    """The sum of cells in decimals, which no order of merging changes; NULL if a cell does not fit."""
+    return F.when(F.count(exact(c)) == F.count(_col(c)), F.sum(exact(c)))
+
+
+def half_up(total: Column, plain: Column, digits: int, count: Column | None = None) -> Column:
+    """An exact ``total``, or its quotient by ``count``, rounded once; ``plain`` rounded where there is no total.
 
-    Sums of doubles depend on the order in which partitions merge.  Snapping to
-    six decimals first makes the rounded figure the same on every run.  Values
-    beyond the decimal range keep the plain rounding.
+    The quotient is taken in whole numbers: floor((2 * |total| * 10**digits + count) / (2 * count)).
     """
-    exact = F.round(_col(c).try_cast("decimal(38,6)"), digits).cast("double")
-    return F.coalesce(exact, F.round(_col(c).cast("double"), digits))
+    if count is None:
+        figure = F.round(total, digits).cast("double")
+    else:
+        times = F.lit(Decimal(2 * 10**digits))
+        n = F.nullif(count, F.lit(0)).cast("decimal(20,0)")
+        quotient = F.call_function("div", F.abs(total).try_cast("decimal(31,9)") * times + n, n * F.lit(Decimal(2)))
+        figure = F.when(F.abs(plain) < _MOST_EXACT, quotient) * F.signum(total) / 10**digits
+    return F.coalesce(figure, F.round(plain, digits))
+
+
+def rounded_sum(c: Column | str, digits: int) -> Column:
+    return half_up(_exact_total(c), F.sum(_col(c).cast("double")), digits)
+
+
+def rounded_avg(c: Column | str, digits: int) -> Column:
+    return half_up(_exact_total(c), F.avg(_col(c).cast("double")), digits, F.count(_col(c)))
+
+
+def exact_sum(c: Column | str) -> Column:
+    """Sum of doubles that no order of merging changes."""
+    return F.coalesce(_exact_total(c).cast("double"), F.sum(_col(c).cast("double")))
+
+
+def exact_avg(c: Column | str) -> Column:
+    return exact_sum(c) / F.nullif(F.count(_col(c)), F.lit(0))
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:

@@ -1,113 +1,118 @@
 """Exact medians per group that never hold a group in one task.
 
-``percentile_approx`` at exact accuracy and ``median`` both merge every value of
-a group in one reducer.  Here equal values are counted first.  The counts are then
-summed in value-ordered buckets of equal relative width, the bucket that holds the
-middle rank is cut into slices between its least and greatest value, and only the
-slice that holds the middle rank is ranked.
-
-What a task can meet is bounded by the range of the values and not by the rows of a
-group: counting is spread by value, a group has at most some 95,000 buckets (all
-doubles) and one bucket 8192 slices, and a slice holds the distinct values of less
-than a ten-thousandth of the bucket that was chosen for its rank.
+``percentile_approx`` at exact accuracy and ``median`` both merge every value of a group
+in one reducer.  Here rows are first counted by group *and* value, and that histogram is
+written once.  It may carry other sums, so all measures of a group come from it too and the
+input is read once.
+
+The middle rank is then located by narrowing: the values of a group fall into ranges, at
+first of equal relative width, and only the range that holds the middle rank is kept.  A
+range with more than ``MOST_RANKED`` distinct values is cut into ``SLICES`` slices between
+its least and its greatest value, and so on.  Least and greatest value always part, and a
+slice is a ``SLICES``-th of the range before, so a few rounds reach any double, however
+closely values cluster.  In the end the distinct values of one range are ranked, and no
+task ever ranks more than ``MOST_RANKED`` values or ``SLICES`` ranges of one group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_STEPS_PER_E = 64  # a bucket spans a factor of 1.016
-_LEAST_LOG, _GREATEST_LOG = -30.0, 710.0  # smaller sizes count as zero; infinities end up above
-_SLICES = 8192  # per bucket
+from civicmart.session import staged
 
-_G, _V, _N, _B, _S, _BASE, _LO, _HI = (
-    "__group", "__value", "__count", "__bucket", "__slice", "__base", "__rank_lo", "__rank_hi",
-)
+MOST_RANKED = 8192
+SLICES = 8192
+
+GROUP, VALUE, ROWS = "group_of_value", "value", "rows_of_value"
 LOW, HIGH = "low_middle", "high_middle"
 
+# With two steps a factor of e, all doubles have fewer ranges than ``SLICES``.
+_STEPS_PER_E = 2
+_LEAST, _LEAST_LOG, _GREATEST_LOG = 5e-324, -746.0, 710.0  # infinities end up above
+_PART, _RANGE, _BASE, _RANK_LO, _RANK_HI = "__part", "__range", "__base", "__rank_lo", "__rank_hi"
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, carried: Mapping[str, Column] | None = None) -> DataFrame:
+    """The histogram: one row per group and value with its rows and the ``carried`` aggregates, written once.
 
-def _log_bucket(value: Column) -> Column:
-    """Bucket number that never decreases as the value grows, of equal relative width."""
-    log = F.least(F.greatest(F.ln(F.greatest(F.abs(value), F.lit(1e-300))), F.lit(_LEAST_LOG)), F.lit(_GREATEST_LOG))
-    bucket = F.floor(F.signum(value) * (log - _LEAST_LOG) * _STEPS_PER_E).cast("bigint")
-    # Never NULL here; saying so keeps a null filter of the join out of one of its inputs,
-    # so that both read the same shuffle.
-    return F.coalesce(bucket, F.lit(0).cast("bigint"))
+    The keys travel as one struct: structs with equal fields join even where a field is NULL.
+    """
+    group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("__all"))
+    counted = df.groupBy(group.alias(GROUP), F.col(value).cast("double").alias(VALUE)).agg(
+        F.count(F.lit(1)).alias(ROWS), *[a.alias(name) for name, a in (carried or {}).items()]
+    )
+    return staged(counted, "histogram")
+
+
+def _relative(value: Column) -> Column:
+    """Number of the value's range: it never decreases as the value grows."""
+    log = F.least(F.ln(F.greatest(F.abs(value), F.lit(_LEAST))), F.lit(_GREATEST_LOG))
+    return F.floor(F.signum(value) * (log - _LEAST_LOG) * _STEPS_PER_E).cast("bigint")
 
 
 def _slice(value: Column) -> Column:
-    """Number of the equal slice between the least and the greatest value of the bucket."""
-    place = (value - F.col("__min")) / F.when(F.col("__max") > F.col("__min"), F.col("__max") - F.col("__min"))
-    return F.coalesce(F.floor(place * _SLICES).cast("bigint"), F.lit(0).cast("bigint"))
+    """Number of the equal slice between the least and the greatest value of the range."""
+    place = (value - F.col("__min")) / F.nullif(F.col("__max") - F.col("__min"), F.lit(0.0))
+    return F.coalesce(F.floor(place * SLICES).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _ranked(counts: DataFrame, within: Sequence[str], order: str, start: Column) -> DataFrame:
-    """Rank of the last value of each row, counted from ``start``, as ``__end``."""
+    """Rank of the last row of each value or range, counted from ``start``, as ``__end``."""
     upto = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.withColumn("__end", start + F.sum(_N).over(upto))
+    return counts.withColumn("__end", start + F.sum(ROWS).over(upto))
 
 
 def _holds_middle() -> Column:
-    return (F.col("__end") >= F.col(_LO)) & (F.col("__end") - F.col(_N) < F.col(_HI))
+    return (F.col("__end") >= F.col(_RANK_LO)) & (F.col("__end") - F.col(ROWS) < F.col(_RANK_HI))
 
 
-def middle_values(df: DataFrame, keys: Sequence[str], value: str, interpolate: bool = False) -> DataFrame:
+def candidates(counts: DataFrame, interpolate: bool = False) -> DataFrame:
+    """The values of the one or two ranges of each group that hold its middle ranks."""
+    total = F.sum(ROWS).over(Window.partitionBy(GROUP))
+    low_rank = F.call_function("div", total + 1, F.lit(2))
+    high_rank = F.call_function("div", total, F.lit(2)) + 1 if interpolate else low_rank
+    rows = (
+        counts.filter(F.col(VALUE).isNotNull() & ~F.isnan(VALUE))
+        .select(GROUP, VALUE, ROWS, F.lit(0).cast("bigint").alias(_RANGE), _relative(F.col(VALUE)).alias(_PART))
+    )
+    ranks: list[str] = []
+    while True:
+        place = [GROUP, _RANGE]
+        parts = rows.groupBy(*place, _PART, *ranks).agg(
+            F.sum(ROWS).alias(ROWS), F.count(F.lit(1)).alias("__values"), F.min(VALUE).alias("__min"), F.max(VALUE).alias("__max")
+        )
+        if not ranks:
+            parts = parts.withColumns({_RANK_LO: low_rank, _RANK_HI: high_rank, _BASE: F.lit(0).cast("bigint")})
+            ranks = [_RANK_LO, _RANK_HI, _BASE]
+        middle = _ranked(parts, place, _PART, F.col(_BASE)).filter(_holds_middle())
+        middle = middle.withColumn(_BASE, F.col("__end") - F.col(ROWS)).drop("__end", ROWS)
+        middle = staged(middle, "middle")
+        # One or two ranges a group: Spark broadcasts them if they prove small, and otherwise
+        # joins on group and range, which spreads a large group.
+        known = rows.select(*place, _PART, VALUE, ROWS)
+        rows = known.join(middle, [*place, _PART]).drop(_RANGE).withColumnRenamed(_PART, _RANGE)
+        if (middle.agg(F.max("__values")).first()[0] or 0) <= MOST_RANKED:
+            return rows.drop("__values", "__min", "__max")
+        rows = staged(rows.withColumn(_PART, _slice(F.col(VALUE))).drop("__values", "__min", "__max"), "narrowed")
+
+
+def middle_values(counts: DataFrame, keys: Sequence[str], interpolate: bool = False) -> DataFrame:
     """One or two rows per group with its middle values in ``low_middle`` and ``high_middle``.
 
     An even count has two middle values; without ``interpolate`` only the lower
     one is found.  NULL and NaN are missing; a group without values has no row.
-
-    The keys travel as one struct: structs with equal fields join even where a
-    field is NULL, and join and window then share one partitioning.
     """
-    group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("__all"))
-    # Equal values are counted on the map side; the shuffle spreads a group by value.
-    bucketed = (
-        df.select(group.alias(_G), F.col(value).cast("double").alias(_V))
-        .filter(F.col(_V).isNotNull() & ~F.isnan(_V))
-        .groupBy(_G, _V)
-        .agg(F.count(F.lit(1)).alias(_N))
-        .withColumn(_B, _log_bucket(F.col(_V)))
-    )
-
-    total = F.sum(_N).over(Window.partitionBy(_G))
-    low_rank = F.call_function("div", total + 1, F.lit(2))
-    high_rank = F.call_function("div", total, F.lit(2)) + 1 if interpolate else low_rank
-    per_bucket = bucketed.groupBy(_G, _B).agg(
-        F.sum(_N).alias(_N), F.min(_V).alias("__min"), F.max(_V).alias("__max")
-    )
-    middle = (
-        _ranked(per_bucket.withColumns({_LO: low_rank, _HI: high_rank}), [_G], _B, F.lit(0))
-        .filter(_holds_middle())
-        .withColumn(_BASE, F.col("__end") - F.col(_N))
-    )
-    # At most two buckets per group remain: Spark broadcasts them if they prove small and
-    # otherwise joins on group and bucket, which spreads a large group.
-    bucket = [_G, _B]
-    sliced = (
-        bucketed.join(middle.select(*bucket, "__min", "__max", _BASE, _LO, _HI), bucket)
-        .withColumn(_S, _slice(F.col(_V)))
-        .drop("__min", "__max")
-    )
-    per_slice = sliced.groupBy(*bucket, _S, _BASE, _LO, _HI).agg(F.sum(_N).alias(_N))
-    middle = (
-        _ranked(per_slice, bucket, _S, F.col(_BASE))
-        .filter(_holds_middle())
-        .withColumn(_BASE, F.col("__end") - F.col(_N))
-    )
-    place = [*bucket, _S]
-    rows = sliced.drop(_BASE).join(middle.select(*place, _BASE), place)
 
     def at(rank: str) -> Column:
-        hit = (F.col("__end") >= F.col(rank)) & (F.col("__end") - F.col(_N) < F.col(rank))
-        return F.when(hit, F.col(_V))
+        hit = (F.col("__end") >= F.col(rank)) & (F.col("__end") - F.col(ROWS) < F.col(rank))
+        return F.when(hit, F.col(VALUE))
 
-    found = _ranked(rows, place, _V, F.col(_BASE)).filter(_holds_middle())
-    names = [F.col(_G)[k].alias(k) for k in keys]
-    return found.select(*names, at(_LO).alias(LOW), at(_HI).alias(HIGH))
+    found = _ranked(candidates(counts, interpolate), [GROUP, _RANGE], VALUE, F.col(_BASE)).filter(_holds_middle())
+    names = [F.col(GROUP)[k].alias(k) for k in keys]
+    return found.select(*names, at(_RANK_LO).alias(LOW), at(_RANK_HI).alias(HIGH))
 
 
 def median(interpolate: bool = False) -> Column:
@@ -115,21 +120,20 @@ def median(interpolate: bool = False) -> Column:
     return F.max(LOW) / 2 + F.max(HIGH) / 2 if interpolate else F.max(LOW)
 
 
-def with_middle_values(
-    df: DataFrame, keys: Sequence[str], value: str, interpolate: bool = False
-) -> DataFrame:
-    """The rows of ``df`` followed by those of ``middle_values``, told apart by ``is_row``.
+def with_middle_values(counts: DataFrame, keys: Sequence[str], interpolate: bool = False) -> DataFrame:
+    """The rows of the histogram followed by those of ``middle_values``.
 
     One aggregation by ``keys`` then gives sums and ``median`` together, where a
     join of the two would shuffle both once more.  The other columns of the added
     rows are NULL, so aggregates that skip NULL need no care.
     """
-    own = df.withColumn("is_row", F.lit(1))
-    return own.unionByName(middle_values(df, keys, value, interpolate), allowMissingColumns=True)
+    own = counts.select(*[F.col(GROUP)[k].alias(k) for k in keys], *[c for c in counts.columns if c != GROUP])
+    return own.unionByName(middle_values(counts, keys, interpolate), allowMissingColumns=True)
 
 
 def exact_median(
     df: DataFrame, keys: Sequence[str], value: str, out: str, interpolate: bool = False
 ) -> DataFrame:
     """Median of ``value`` per group of ``keys``, as a frame of keys and ``out``."""
-    return middle_values(df, keys, value, interpolate).groupBy(*keys).agg(median(interpolate).alias(out))
+    found = middle_values(value_counts(df, keys, value), keys, interpolate)
+    return found.groupBy(*keys).agg(median(interpolate).alias(out))

@@ -72,17 +72,13 @@ def months_earlier(
 ) -> DataFrame:
     """``value`` of the row exactly ``months`` calendar months earlier, NULL if there is none.
 
-    Needs one row per partition and month.
+    A window over the number of the month, whose frame is that one month; the day of the
+    month plays no part.  Of several rows in a month the greatest value counts.
     """
-    base = df.select(
-        *[F.col(c).alias(f"__p{i}") for i, c in enumerate(partition)],
-        F.add_months(month, months).alias("__month"),
-        F.col(value).alias(out),
-    )
-    condition = F.col(month) == F.col("__month")
-    for i, c in enumerate(partition):
-        condition = condition & F.col(c).eqNullSafe(F.col(f"__p{i}"))
-    return df.join(base, condition, "left").select(*df.columns, out)
+    number = F.year(month) * 12 + F.month(month)
+    frame = Window.partitionBy(*partition).orderBy(number).rangeBetween(-months, -months)
+    # A row without month would be its own frame.
+    return df.withColumn(out, F.when(F.col(month).isNotNull(), F.max(value).over(frame)))
 
 
 def pivot_listed(

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicmart.functions.cells import exact_avg, exact_sum
+
 
 def contains_any(c: Column, keywords: Iterable[str]) -> Column:
     """True if any keyword occurs in the text."""
@@ -42,9 +44,14 @@ def roll_up(
     sums: Mapping[str, str],
     means: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Second-level totals by ``key``: rows without key are left out, a sum of nothing is 0."""
-    measures = [F.coalesce(F.sum(source), F.lit(0)).alias(out) for out, source in sums.items()]
-    measures += [F.avg(source).alias(out) for out, source in (means or {}).items()]
+    """Second-level totals by ``key``: rows without key are left out, a sum of nothing is 0.
+
+    Doubles are added as decimals, so figures do not depend on how partitions merge.
+    """
+    kinds = dict(df.dtypes)
+    total = {c: exact_sum(c) if kinds[c] == "double" else F.sum(c) for c in sums.values()}
+    measures = [F.coalesce(total[source], F.lit(0)).alias(out) for out, source in sums.items()]
+    measures += [exact_avg(source).alias(out) for out, source in (means or {}).items()]
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*measures)
 
 

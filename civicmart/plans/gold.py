@@ -6,14 +6,15 @@ would only add a shuffle.  ``presented`` applies the reading order of a table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicmart.contracts import MART, conform, contract
-from civicmart.functions.cells import percent_change, rounded
+from civicmart.functions.cells import exact, half_up, percent_change, rounded, rounded_avg, rounded_sum
 from civicmart.functions.tiers import investment_category, quality_tier
-from civicmart.operators.medians import median, with_middle_values
+from civicmart.operators.medians import ROWS, VALUE, median, value_counts, with_middle_values
 from civicmart.operators.series import lagged, pivot_listed, running_total
+from civicmart.session import staged
 
 FIRST_YEAR = 2017  # fixed value
 
@@ -58,6 +59,26 @@ def _mart(df: DataFrame, table: str) -> DataFrame:
     return conform(df, contract(MART, table))
 
 
+# Of a histogram with the exact sums of its values.
+
+
+def _known() -> Column:
+    return F.sum(F.when(F.col(VALUE).isNotNull(), F.col(ROWS)))
+
+
+def _fitting(sums: str) -> Column:
+    """The exact total, if every value fits in a decimal."""
+    return F.when(F.count(sums) == F.count(VALUE), F.sum(sums))
+
+
+def _total(sums: str, digits: int) -> Column:
+    return half_up(_fitting(sums), F.sum(F.col(VALUE) * F.col(ROWS)), digits)
+
+
+def _mean(sums: str, digits: int) -> Column:
+    return half_up(_fitting(sums), F.sum(F.col(VALUE) * F.col(ROWS)) / F.nullif(_known(), F.lit(0)), digits, _known())
+
+
 def permit_trends(
     permits: DataFrame, first_year: int = FIRST_YEAR, one_row_per_permit: bool = False
 ) -> DataFrame:
@@ -74,8 +95,8 @@ def permit_trends(
     return _mart(
         grouped.agg(
             F.count("*").alias("permit_count"),
-            rounded(F.avg(cost), 2).alias("avg_construction_cost"),
-            rounded(F.sum(cost), 2).alias("total_construction_cost"),
+            rounded_avg(cost, 2).alias("avg_construction_cost"),
+            rounded_sum(cost, 2).alias("total_construction_cost"),
             F.sum("dwelling_units_created").alias("total_units_created"),
             F.sum("dwelling_units_lost").alias("total_units_lost"),
             F.sum("net_dwelling_units").alias("net_dwelling_units"),
@@ -91,13 +112,14 @@ def construction_investment(
     cost = "estimated_construction_cost"
     keys = [*PERIOD, "ward", "current_use", "proposed_use"]
     costed = permits.filter((F.col(cost) > 0) & (F.col("application_year") >= first_year))
-    summary = with_middle_values(costed, keys, cost, interpolate).groupBy(*keys).agg(
-        F.count(cost).alias("project_count"),
-        rounded(F.sum(cost), 2).alias("total_investment"),
-        rounded(F.avg(cost), 2).alias("avg_investment"),
+    counts = value_counts(costed, keys, cost, {"cost": F.sum(exact(cost)), "units": F.sum("dwelling_units_created")})
+    summary = with_middle_values(counts, keys, interpolate).groupBy(*keys).agg(
+        F.sum(ROWS).alias("project_count"),
+        _total("cost", 2).alias("total_investment"),
+        _mean("cost", 2).alias("avg_investment"),
         rounded(median(interpolate), 2).alias("median_investment"),
-        F.max(cost).alias("max_investment"),
-        F.sum("dwelling_units_created").alias("units_created"),
+        F.max(VALUE).alias("max_investment"),
+        F.sum("units").alias("units_created"),
     )
     return _mart(
         summary.withColumn("investment_category", investment_category(F.col("avg_investment"))),
@@ -106,13 +128,10 @@ def construction_investment(
 
 
 def apartment_scorecard(buildings: DataFrame, null_tier: str | None = "floor") -> DataFrame:
-    def mean(column: str, digits: int):
-        return rounded(F.avg(column), digits)
-
     grouped = buildings.groupBy("ward", "property_type").agg(
         F.count("*").alias("building_count"),
-        *[mean(c, 1).alias(f"avg_{c}") for c in ("eval_score", "proactive_score", "reactive_score")],
-        *[mean(c, 0).alias(f"avg_{c}") for c in ("units", "storeys", "building_age", "year_built")],
+        *[rounded_avg(c, 1).alias(f"avg_{c}") for c in ("eval_score", "proactive_score", "reactive_score")],
+        *[rounded_avg(c, 0).alias(f"avg_{c}") for c in ("units", "storeys", "building_age", "year_built")],
         *[F.sum(c).alias(f"total_{c}") for c in ("units", "elevators")],
         F.min("year_built").alias("oldest_building"),
         F.max("year_built").alias("newest_building"),
@@ -134,10 +153,11 @@ def housing_development(permits: DataFrame, first_year: int = FIRST_YEAR) -> Dat
         F.sum(created).alias("units_created"),
         F.sum(lost).alias("units_lost"),
         F.sum("net_dwelling_units").alias("net_units"),
-        rounded(F.sum("estimated_construction_cost"), 2).alias("total_cost"),
+        rounded_sum("estimated_construction_cost", 2).alias("total_cost"),
     )
+    # Written once: the running total reads the groups twice, the permits need reading only once.
     return _mart(
-        running_total(grouped, ["ward"], PERIOD, detail, "net_units", "cumulative_net_units"),
+        running_total(staged(grouped, "housing"), ["ward"], PERIOD, detail, "net_units", "cumulative_net_units"),
         "housing_development",
     )
 
@@ -155,13 +175,14 @@ def price_index_trends(index: DataFrame) -> DataFrame:
 def property_overview(parcels: DataFrame, interpolate: bool = False) -> DataFrame:
     sqm, sqft = "stated_area_sqm", "stated_area_sqft"
     keys = ["feature_type"]
-    summary = with_middle_values(parcels, keys, sqm, interpolate).groupBy(*keys).agg(
-        F.count("is_row").alias("property_count"),
-        rounded(F.avg(sqm), 2).alias("avg_area_sqm"),
-        rounded(F.avg(sqft), 2).alias("avg_area_sqft"),
+    carried = {"sqm": F.sum(exact(sqm)), "sqft": F.sum(exact(sqft)), "sqft_plain": F.sum(sqft), "sqft_rows": F.count(sqft)}
+    summary = with_middle_values(value_counts(parcels, keys, sqm, carried), keys, interpolate).groupBy(*keys).agg(
+        F.sum(ROWS).alias("property_count"),
+        _mean("sqm", 2).alias("avg_area_sqm"),
+        half_up(F.sum("sqft"), F.sum("sqft_plain") / F.nullif(F.sum("sqft_rows"), F.lit(0)), 2, F.sum("sqft_rows")).alias("avg_area_sqft"),
         rounded(median(interpolate), 2).alias("median_area_sqm"),
-        F.min(sqm).alias("min_area_sqm"),
-        F.max(sqm).alias("max_area_sqm"),
-        rounded(F.sum(sqm), 2).alias("total_area_sqm"),
+        F.min(VALUE).alias("min_area_sqm"),
+        F.max(VALUE).alias("max_area_sqm"),
+        _total("sqm", 2).alias("total_area_sqm"),
     )
     return _mart(summary, "property_overview")

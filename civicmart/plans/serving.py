@@ -8,10 +8,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicmart.functions import display
+from civicmart.functions.cells import exact_avg, exact_sum
 from civicmart.operators.shaping import (
     bounds,
     dimension_values,
@@ -54,9 +55,9 @@ def key_figures(
     """
     parts = [
         trends.agg(F.coalesce(F.sum("permit_count"), F.lit(0)).alias("total_permits")),
-        investment.agg(F.coalesce(F.sum("total_investment"), F.lit(0.0)).alias("total_investment")),
+        investment.agg(F.coalesce(exact_sum("total_investment"), F.lit(0.0)).alias("total_investment")),
         housing.agg(F.coalesce(F.sum("net_units"), F.lit(0)).alias("net_units")),
-        scorecard.agg(F.coalesce(F.avg("avg_eval_score"), F.lit(0.0)).alias("avg_score")),
+        scorecard.agg(F.coalesce(exact_avg("avg_eval_score"), F.lit(0.0)).alias("avg_score")),
         overview.agg(F.coalesce(F.sum("property_count"), F.lit(0)).alias("total_properties")),
     ]
     names = [part.columns[0] for part in parts]
@@ -165,13 +166,16 @@ def year_bounds(trends: DataFrame) -> DataFrame:
     return bounds(trends, "application_year", "first_year", "last_year")
 
 
+def _option(name: str) -> Column:
+    return F.struct(F.lit(name).alias("dimension"), F.col(name).cast("string").alias("option"))
+
+
 def filter_options(trends: DataFrame, index: DataFrame) -> DataFrame:
     """Every value a reader can filter by, as (dimension, option) rows."""
-    lists = [(trends, "application_year"), (trends, "ward"), (trends, "permit_type"), (index, "geography")]
+    lists = [(trends, ["application_year", "ward", "permit_type"]), (index, ["geography"])]
+    # One scan per table: each row gives one row per dimension, most of which fall to the map-side distinct.
     options = [
-        df.select(F.lit(name).alias("dimension"), F.col(name).cast("string").alias("option"))
-        .na.drop()
-        .distinct()
-        for df, name in lists
+        df.select(F.explode(F.array(*[_option(name) for name in names])).alias("o")).select("o.*").na.drop().distinct()
+        for df, names in lists
     ]
     return reduce(DataFrame.unionByName, options).orderBy("dimension", "option")

@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
 
@@ -61,3 +61,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)
         base = _local_scratch
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The frame written once below the shared scratch folder and read from there.
+
+    For a frame that a plan needs more than once and that is costly to compute.  It
+    cuts the lineage: a lost executor costs only the tasks that it ran.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

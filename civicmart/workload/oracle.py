@@ -13,8 +13,21 @@ WARDS = "ward IN ('3', '7', '11', '19')"
 
 
 def _r(expression: str, digits: int) -> str:
-    """Half-up rounding on six decimals, as the library rounds."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
+    """Half-up rounding of a number as it is written in decimals."""
+    return f"CAST(round(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38,17)), {digits}) AS DOUBLE)"
+
+
+def _s(column: str, digits: int) -> str:
+    """Sum of decimals, rounded once."""
+    return f"CAST(round(sum(CAST(CAST({column} AS VARCHAR) AS DECIMAL(28,9))), {digits}) AS DOUBLE)"
+
+
+def _a(column: str, digits: int) -> str:
+    """Mean of decimals, rounded once: whole numbers of billionths, divided by twice their count."""
+    whole = f"sum(CAST(CAST(CAST({column} AS VARCHAR) AS DECIMAL(28,9)) * 1000000000 AS HUGEINT))::HUGEINT"
+    n = f"(count({column}) * 1000000000)::HUGEINT"
+    half_up = f"(abs({whole}) * {2 * 10**digits} + {n}) // nullif(2 * {n}, 0)"
+    return f"CAST({half_up} AS DOUBLE) * sign({whole}) / {10**digits}"
 
 
 PERMITS = f"""permit_cells AS (
@@ -132,8 +145,8 @@ price_index AS (
 
 TRENDS = f"""{PERMITS}, trends AS (
   SELECT application_year, application_quarter, ward, permit_type, structure_type, work_type, status,
-    count(*) AS permit_count, {_r("avg(estimated_construction_cost)", 2)} AS avg_construction_cost,
-    {_r("sum(estimated_construction_cost)", 2)} AS total_construction_cost,
+    count(*) AS permit_count, {_a("estimated_construction_cost", 2)} AS avg_construction_cost,
+    {_s("estimated_construction_cost", 2)} AS total_construction_cost,
     CAST(sum(dwelling_units_created) AS BIGINT) AS total_units_created,
     CAST(sum(dwelling_units_lost) AS BIGINT) AS total_units_lost,
     CAST(sum(net_dwelling_units) AS BIGINT) AS net_dwelling_units,
@@ -142,8 +155,8 @@ TRENDS = f"""{PERMITS}, trends AS (
 
 INVESTMENT = f"""{PERMITS}, investment_groups AS (
   SELECT application_year, application_quarter, ward, current_use, proposed_use, count(*) AS project_count,
-    {_r("sum(estimated_construction_cost)", 2)} AS total_investment,
-    {_r("avg(estimated_construction_cost)", 2)} AS avg_investment,
+    {_s("estimated_construction_cost", 2)} AS total_investment,
+    {_a("estimated_construction_cost", 2)} AS avg_investment,
     {_r("quantile_disc(estimated_construction_cost, 0.5)", 2)} AS median_investment,
     max(estimated_construction_cost) AS max_investment,
     CAST(sum(dwelling_units_created) AS BIGINT) AS units_created
@@ -156,11 +169,11 @@ investment AS (
 
 SCORECARD = f"""{BUILDINGS}, score_groups AS (
   SELECT ward, property_type, count(*) AS building_count,
-    {_r("avg(eval_score)", 1)} AS avg_eval_score, {_r("avg(proactive_score)", 1)} AS avg_proactive_score,
-    {_r("avg(reactive_score)", 1)} AS avg_reactive_score, {_r("avg(units)", 0)} AS avg_units,
-    {_r("avg(storeys)", 0)} AS avg_storeys, {_r("avg(building_age)", 0)} AS avg_building_age,
+    {_a("eval_score", 1)} AS avg_eval_score, {_a("proactive_score", 1)} AS avg_proactive_score,
+    {_a("reactive_score", 1)} AS avg_reactive_score, {_a("units", 0)} AS avg_units,
+    {_a("storeys", 0)} AS avg_storeys, {_a("building_age", 0)} AS avg_building_age,
     CAST(sum(units) AS BIGINT) AS total_units, CAST(sum(elevators) AS BIGINT) AS total_elevators,
-    {_r("avg(year_built)", 0)} AS avg_year_built, min(year_built) AS oldest_building,
+    {_a("year_built", 0)} AS avg_year_built, min(year_built) AS oldest_building,
     max(year_built) AS newest_building
   FROM buildings GROUP BY ALL),
 scorecard AS (
@@ -173,7 +186,7 @@ HOUSING = f"""{PERMITS}, housing_groups AS (
     CAST(sum(dwelling_units_created) AS BIGINT) AS units_created,
     CAST(sum(dwelling_units_lost) AS BIGINT) AS units_lost,
     CAST(sum(net_dwelling_units) AS BIGINT) AS net_units,
-    {_r("sum(estimated_construction_cost)", 2)} AS total_cost
+    {_s("estimated_construction_cost", 2)} AS total_cost
   FROM permits
   WHERE application_year >= {FIRST_YEAR}
     AND (dwelling_units_created IS NOT NULL OR dwelling_units_lost IS NOT NULL)
@@ -199,11 +212,11 @@ index_trends AS (
   FROM index_lagged)"""
 
 OVERVIEW = f"""{PARCELS}, overview AS (
-  SELECT feature_type, count(*) AS property_count, {_r("avg(stated_area_sqm)", 2)} AS avg_area_sqm,
-    {_r("avg(stated_area_sqft)", 2)} AS avg_area_sqft,
+  SELECT feature_type, count(*) AS property_count, {_a("stated_area_sqm", 2)} AS avg_area_sqm,
+    {_a("stated_area_sqft", 2)} AS avg_area_sqft,
     {_r("quantile_disc(stated_area_sqm, 0.5)", 2)} AS median_area_sqm,
     min(stated_area_sqm) AS min_area_sqm, max(stated_area_sqm) AS max_area_sqm,
-    {_r("sum(stated_area_sqm)", 2)} AS total_area_sqm
+    {_s("stated_area_sqm", 2)} AS total_area_sqm
   FROM parcels GROUP BY ALL)"""
 
 
@@ -234,14 +247,16 @@ def _key_figures(permits: str, money: str, units: str) -> str:
     """The key figures, each table cut by a condition."""
     return f"""WITH {TRENDS}, {INVESTMENT[len(PERMITS) + 2:]}, {HOUSING[len(PERMITS) + 2:]}, {SCORECARD}, {OVERVIEW},
     figures AS (SELECT (SELECT CAST(sum(permit_count) AS BIGINT) FROM trends {permits}) AS total_permits,
-      (SELECT sum(total_investment) FROM investment {money}) AS total_investment,
+      (SELECT CAST(sum(CAST(CAST(total_investment AS VARCHAR) AS DECIMAL(28,9))) AS DOUBLE) FROM investment {money}) AS total_investment,
       (SELECT CAST(sum(net_units) AS BIGINT) FROM housing {units}) AS net_units,
-      (SELECT avg(avg_eval_score) FROM scorecard) AS avg_score,
+      (SELECT {_a("avg_eval_score", 4)} FROM scorecard) AS avg_score,
+      (SELECT CAST(sum(CAST(CAST(avg_eval_score AS VARCHAR) AS DECIMAL(28,9))) AS DOUBLE) / count(avg_eval_score)
+        FROM scorecard) AS plain_score,
       (SELECT CAST(sum(property_count) AS BIGINT) FROM overview) AS total_properties)
     SELECT total_permits, {_r("total_investment", 2)} AS total_investment, net_units,
-      {_r("avg_score", 4)} AS avg_score, total_properties, {_count("total_permits")} AS total_permits_text,
+      avg_score, total_properties, {_count("total_permits")} AS total_permits_text,
       {_currency("total_investment")} AS total_investment_text, {_count("net_units")} AS net_units_text,
-      printf('%.1f/100', avg_score) AS avg_score_text, {_count("total_properties")} AS total_properties_text
+      printf('%.1f/100', plain_score) AS avg_score_text, {_count("total_properties")} AS total_properties_text
     FROM figures"""
 
 
@@ -380,7 +395,7 @@ ORACLE: dict[str, str] = {
         _sum("permit_count")),
     "investment_by_category_filtered": f"WITH {INVESTMENT} " + _total(
         f"(SELECT * FROM investment WHERE {YEARS} AND {WARDS})", "investment_category",
-        f"{_sum('project_count')}, {_r('sum(total_investment)', 2)} AS total_investment"),
+        f"{_sum('project_count')}, {_s('total_investment', 2)} AS total_investment"),
     "units_by_year_filtered": f"WITH {HOUSING} " + _total(
         f"(SELECT * FROM housing WHERE {YEARS})", "application_year",
         f"{_sum('units_created')}, -abs(CAST(coalesce(sum(units_lost), 0) AS BIGINT)) AS units_lost, "
@@ -407,13 +422,13 @@ ORACLE: dict[str, str] = {
         "trends", "ward", _sum("permit_count"), "ORDER BY permit_count DESC, ward LIMIT 15"),
     "investment_by_year": f"WITH {INVESTMENT} " + _total(
         "investment", "application_year",
-        f"{_r('sum(total_investment)', 2)} AS total_investment, {_sum('project_count')}, "
-        f"{_r('avg(avg_investment)', 2)} AS avg_investment"),
+        f"{_s('total_investment', 2)} AS total_investment, {_sum('project_count')}, "
+        f"{_a('avg_investment', 2)} AS avg_investment"),
     "investment_by_category": f"WITH {INVESTMENT} " + _total(
         "investment", "investment_category",
-        f"{_sum('project_count')}, {_r('sum(total_investment)', 2)} AS total_investment"),
+        f"{_sum('project_count')}, {_s('total_investment', 2)} AS total_investment"),
     "top_uses": f"WITH {INVESTMENT} " + _total(
-        "investment", "current_use", f"{_r('sum(total_investment)', 2)} AS total_investment",
+        "investment", "current_use", f"{_s('total_investment', 2)} AS total_investment",
         "ORDER BY total_investment DESC, current_use LIMIT 5"),
     "units_by_year": f"WITH {HOUSING} " + _total(
         "housing", "application_year",

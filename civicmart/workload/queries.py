@@ -35,7 +35,7 @@ def registered(query: Query) -> Query:
 
 
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    """Averages of doubles depend on summing order in the last bits; compare them rounded."""
+    """Display figures; sums of doubles are exact, so rounding them gives the same on every run."""
     return df.withColumns({c: cells.rounded(c, digits) for c in columns})
 
 

@@ -152,3 +152,42 @@ def test_no_cell_raises(column, texts):
 @pytest.mark.parametrize("kind", ["as_int", "as_long", "as_double"])
 def test_blank_is_missing(column, kind):
     assert column(getattr(cells, kind), ["", " ", None]) == [None, None, None]
+
+
+def test_sums_and_means_are_rounded_once(spark):
+    def figures(cells_, digits=1):
+        df = spark.createDataFrame([(c,) for c in cells_], "c double").repartition(4)
+        return tuple(df.agg(cells.rounded_avg("c", digits), cells.rounded_sum("c", digits)).first())
+
+    assert figures([79.94999996]) == (79.9, 79.9)
+    assert figures([-79.94999996]) == (-79.9, -79.9)
+    assert figures([0.05, 0.05]) == (0.1, 0.1)
+    assert figures([0.04, 0.05, 0.06, None]) == (0.1, 0.2)
+    assert figures([-0.05, -0.05]) == (-0.1, -0.1)
+    assert figures([1.005], 2) == (1.01, 1.01)
+    assert figures([0.1] * 10, 4) == (0.1, 1.0)
+    assert figures([None]) == (None, None)
+    assert figures([1e25, 1.0]) == (5e24, 1e25)
+    assert figures([9e17, 9e17], 2) == (9e17, 1.8e18)
+
+
+def test_sums_do_not_depend_on_order(spark):
+    values = [0.1, 1e15, -1e15, 0.2, 0.3] * 50
+    df = spark.createDataFrame([(v,) for v in values], "c double")
+    got = {df.repartition(n).agg(cells.exact_sum("c")).first()[0] for n in (1, 2, 3, 5, 7)}
+    assert got == {30.0}
+
+
+def test_means_equal_fractions(spark):
+    import random
+    from fractions import Fraction
+
+    draw = random.Random(11)
+    rows = [(k, round(draw.uniform(-50, 50), draw.choice([0, 1, 2, 3]))) for k in range(300) for _ in range(draw.choice([1, 2, 4, 8, 16]))]
+    df = spark.createDataFrame(rows, "k int, c double")
+    got = dict(df.groupBy("k").agg(cells.rounded_avg("c", 2)).collect())
+    for k in range(300):
+        group = [Fraction(str(c)) for i, c in rows if i == k]
+        mean = sum(group) / len(group)
+        whole = (2 * abs(mean) * 100 + 1) // 2
+        assert got[k] == (whole if mean >= 0 else -whole) / 100

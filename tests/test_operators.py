@@ -144,6 +144,41 @@ def test_median_with_infinities_and_tiny_values(spark):
     check_medians(spark, [("a", inf), ("a", inf), ("a", 1.0), ("b", -inf), ("b", 1e-40), ("b", 2e-40), ("c", 5e-324)])
 
 
+def test_median_ranks_a_bounded_number_of_values(spark):
+    """Values that cluster in a sliver of their range, beside an outlier, and a group of everything."""
+    data = [("k", 1.0 + 1e-7 * i / 100_000) for i in range(100_000)] + [("k", 2.0**40)]
+    data += [("wide", math.exp(i / 50)) for i in range(-30_000, 30_000)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(4)
+    for interpolate in (False, True):
+        counts = medians.value_counts(df, ["k"], "v")
+        ranked = medians.candidates(counts, interpolate).groupBy(medians.GROUP, "__range").count()
+        assert ranked.agg(F.max("count")).first()[0] <= medians.MOST_RANKED
+        got = dict(rows(medians.exact_median(df, ["k"], "v", "m", interpolate)))
+        assert got == expected_medians(data, interpolate)
+
+
+def test_median_of_neighbouring_doubles(spark):
+    """Distinct values whose distances are single steps of the last bit, and denormal ones."""
+    near = [1.0]
+    for _ in range(20_000):
+        near.append(math.nextafter(near[-1], 2.0))
+    data = [("a", v) for v in near] + [("a", 1.9)] + [("b", i * 5e-324) for i in range(1, 20_000)] + [("b", 3e-310)]
+    check_medians(spark, data)
+
+
+def test_calendar_lag_reads_once_and_skips_gaps(spark):
+    import datetime
+
+    data = [("a", datetime.date(2020, m, 1), float(m)) for m in (1, 2, 4)] + [("a", datetime.date(2021, m, 1), 0.0) for m in (1, 3, 4)]
+    data += [(None, datetime.date(2020, 1, 1), 9.0), (None, datetime.date(2021, 1, 1), 1.0), ("a", None, 5.0)]
+    df = spark.createDataFrame(data, "g string, d date, v double")
+    got = {(r.g, r.d): r.ago for r in series.months_earlier(df, ["g"], "d", "v", 12, "ago").collect()}
+    day = datetime.date
+    assert {k: v for k, v in got.items() if v is not None} == {
+        ("a", day(2021, 1, 1)): 1.0, ("a", day(2021, 4, 1)): 4.0, (None, day(2021, 1, 1)): 9.0,
+    }
+
+
 def test_median_without_keys(spark):
     df = spark.createDataFrame([(4.0,), (1.0,), (3.0,), (2.0,), (None,)], "v double")
     assert rows(medians.exact_median(df, [], "v", "m")) == [(2.0,)]
