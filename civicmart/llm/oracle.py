@@ -78,15 +78,14 @@ FROM parts JOIN judged USING (host)
 
 ORACLE["op9_sorted_list_search"] = """
 WITH e AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, q.v AS qv, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-  FROM e q JOIN e c ON len(q.v) = len(c.v) AND (q.vec_id <> c.vec_id OR q.v <> c.v) WHERE q.vec_id % 50 = 0)
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM e q JOIN e c ON len(q.v) = len(c.v) AND q.r <> c.r WHERE q.vec_id % 50 = 0)
 SELECT query_id, rank, vec_id, score FROM (
-  SELECT query_id, vec_id, score,
-         row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 WHERE rank <= 5
 """
 

@@ -138,7 +138,7 @@ def op8_personal_data(spark: SparkSession, sf: str) -> DataFrame:
 @registered
 def op9_sorted_list_search(spark: SparkSession, sf: str) -> DataFrame:
     """The five best of all other vectors for every fiftieth vector."""
-    vectors = topk.quantised(table(spark, sf, "embeddings"))
+    vectors = staged(topk.quantised(table(spark, sf, "embeddings")), "quantised")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
