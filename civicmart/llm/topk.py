@@ -14,8 +14,9 @@ Reading goes on until every vector that can still qualify was met in all lists t
 matter, so its lower bound is its score.  No component is ever looked up.
 
 The first shard is read first.  Its k-th score is a bound that goes with the query to all
-other shards, which then need to read only as far as that bound requires.  Shards and blocks of
-queries are bounded, so memory is, and a query's k best are all that leaves a shard.
+other shards, which then need to read only as far as that bound requires.  A task has one shard
+and at most some ``TASK_QUERIES`` queries, taken in blocks, so memory and work are bounded, and
+a query's k best are all that leaves a shard.
 Arithmetic is exact: whole numbers in double precision while every sum stays below
 2**51, else in 64-bit integers.
 
@@ -40,8 +41,9 @@ from civicmart.llm.common import staged
 
 SHARD_ROWS = 4096
 BLOCK_QUERIES = 512
-READS = 32  # blocks that a whole list is read in
-ROUNDS_PER_TEST = 4
+TASK_QUERIES = 1 << 13
+READS = 16  # blocks that a whole list is read in
+ROUNDS_PER_TEST = 2
 _FOUND = "query_row long, query_id long, vec_id long, score long"
 
 
@@ -62,43 +64,50 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     Both are stored rows (row_id, vec_id, v); equal row numbers name the same row.
     """
     shards = max(1, math.ceil(vectors.count() / shard_rows))
+    parts = max(1, math.ceil(queries.count() / TASK_QUERIES))
     dealt = vectors.select("row_id", "vec_id", "v", F.pmod(F.xxhash64("row_id"), F.lit(shards)).alias("shard"))
-    asked = queries.select("row_id", "vec_id", "v", F.lit(None).cast("long").alias("bound"))
-    found = _met(dealt.where("shard = 0"), asked, F.array(F.lit(0).cast("long")), 1, k)
+    part = F.pmod(F.xxhash64("row_id"), F.lit(parts)).alias("part")
+    asked = queries.select("row_id", "vec_id", "v", part, F.lit(None).cast("long").alias("bound"))
+    found = _met(dealt.where("shard = 0"), asked, F.array(F.lit(0).cast("long")), 1, parts, k)
     if shards > 1:
         found = staged(found, "first-shard")
         full = found.groupBy("query_row").agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
         bounded = asked.drop("bound").join(full.select(F.col("query_row").alias("row_id"), "bound"), "row_id", "left")
         others = F.sequence(F.lit(1).cast("long"), F.lit(shards - 1).cast("long"))
-        found = found.unionByName(_met(dealt.where("shard > 0"), bounded, others, shards - 1, k))
+        found = found.unionByName(_met(dealt.where("shard > 0"), bounded, others, shards - 1, parts, k))
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _met(dealt: DataFrame, asked: DataFrame, shards: Column, tasks: int, k: int) -> DataFrame:
-    """The k best of each shard for each query: a shard's vectors come first, then the queries pass by."""
-    columns = ["d", "shard", "asks", "row_id", "vec_id", "v", "bound"]
+def _met(dealt: DataFrame, asked: DataFrame, which: Column, shards: int, parts: int, k: int) -> DataFrame:
+    """The k best of each shard for each query: a shard's vectors come first, then a part of the queries passes by.
+
+    One task has one shard and one part, so its work is bounded; shards are repeated for each part.
+    """
+    columns = ["d", "shard", "part", "asks", "row_id", "vec_id", "v", "bound"]
     size = F.size("v").alias("d")
-    held = dealt.select(size, "shard", F.lit(0).alias("asks"), "row_id", "vec_id", "v", F.lit(None).cast("long").alias("bound"))
-    passing = asked.select(size, F.explode(shards).alias("shard"), F.lit(1).alias("asks"), "row_id", "vec_id", "v", "bound")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part")
+    held = dealt.select(size, "shard", every, F.lit(0).alias("asks"), "row_id", "vec_id", "v", F.lit(None).cast("long").alias("bound"))
+    passing = asked.select(size, F.explode(which).alias("shard"), "part", F.lit(1).alias("asks"), "row_id", "vec_id", "v", "bound")
     rows = held.select(columns).union(passing.select(columns))
-    rows = rows.repartitionByRange(tasks, "shard", "d").sortWithinPartitions("shard", "d", "asks", "row_id")
+    rows = rows.repartitionByRange(shards * parts, "shard", "part", "d")
+    rows = rows.sortWithinPartitions("shard", "part", "d", "asks", "row_id")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, parts, lists = None, [], None
+        key, gathered, lists = None, [], None
         for batch in batches:
-            kinds = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("shard", "d", "asks")], axis=1)
+            kinds = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("shard", "part", "d", "asks")], axis=1)
             cuts = np.flatnonzero((kinds[1:] != kinds[:-1]).any(axis=1)) + 1
             for low, high in zip([0, *cuts], [*cuts, len(kinds)]):
                 part = batch.slice(low, high - low)
-                shard, d, asks = kinds[low].tolist()
-                if (shard, d) != key:
-                    key, parts, lists = (shard, d), [], None
+                *place, d, asks = kinds[low].tolist()
+                if (place, d) != key:
+                    key, gathered, lists = (place, d), [], None
                 if not asks:
-                    parts.append(part)
-                elif parts:
-                    lists = lists or _lists(parts, d)
+                    gathered.append(part)
+                elif gathered:
+                    lists = lists or _lists(gathered, d)
                     for first in range(0, part.num_rows, BLOCK_QUERIES):
                         yield _answers(lists, part.slice(first, BLOCK_QUERIES), d, k)
 
@@ -155,23 +164,30 @@ class SortedLists:
             ahead_up, ahead_down = self._ahead(rising, depth)
             left = np.abs((ahead_up - low)[:, None] * up).sum(axis=1) + np.abs((ahead_down - high)[:, None] * down).sum(axis=1)
             unread = np.flatnonzero(depth < n)
-            for j in unread[np.argsort(-left[unread], kind="stable")][: max(1, d // 2)]:
+            chosen = unread[np.argsort(-left[unread], kind="stable")][: max(1, d // 2)]
+            read_up, read_down = np.zeros((n, len(chosen)), kind), np.zeros((n, len(chosen)), kind)
+            for i, j in enumerate(chosen):
                 a, b = depth[j], min(n, depth[j] + step)
                 top, bottom = self.order[n - b : n - a, j], self.order[a:b, j]
-                lower[top] += (rising[n - b : n - a, j] - low[j])[:, None] * up[j]
-                lower[bottom] += (rising[a:b, j] - high[j])[:, None] * down[j]
+                read_up[top, i] = rising[n - b : n - a, j] - low[j]
+                read_down[bottom, i] = rising[a:b, j] - high[j]
                 met_up[top, j] = met_down[bottom, j] = True
                 depth[j] = b
+            # One product adds what all blocks of this round hold, to all queries.
+            lower += read_up @ up[chosen]
+            lower += read_down @ down[chosen]
             rounds += 1
             if rounds % ROUNDS_PER_TEST and (depth < n).any():
                 continue
             whole = not (depth < n).any()
             ahead_up, ahead_down = self._ahead(rising, depth)
-            # The own row may be among the best, so the k-th of the others is at least the next one.
-            floors = bounds[active].astype(kind)
-            if n > k:
-                floors = np.maximum(floors, np.partition(lower, n - k - 1, axis=0)[n - k - 1])
-            ready = np.flatnonzero((ahead_up @ up + ahead_down @ down < floors) | whole)
+            floors, unmet = bounds[active].astype(kind), ahead_up @ up + ahead_down @ down
+            ready = np.flatnonzero((unmet < np.maximum(floors, lower.max(axis=0))) | whole)
+            if n > k and len(ready):
+                # The own row may be among the best, so the k-th of the others is at least the next one.
+                among = np.partition(np.ascontiguousarray(lower[:, ready].T), n - k - 1, axis=1)[:, n - k - 1]
+                floors[ready] = np.maximum(floors[ready], among)
+                ready = ready[(unmet < floors)[ready] | whole]
             ended = []
             more = (~met_up).astype(kind) @ ((ahead_up - low)[:, None] * up[:, ready])
             more += (~met_down).astype(kind) @ ((ahead_down - high)[:, None] * down[:, ready])

@@ -48,7 +48,7 @@ def test_equals_brute_force_with_ties_and_odd_rows(spark, answer):
     rows = vectors(1, 400)
     rows += [(500, [1.0, 0.5], 1), (501, [1.0, 0.25], 1), (550, [], 1), (600, None, 1), (650, [float("nan")] * 4, 1)]
     rows += [(None, [1.0] * 4, 1), (700, [None, 1.0, 0.0, 0.0], 1), (750, [float("inf"), 1.0, 0.0, 0.0], 1), (800, [0.0] * 4, 2), (850, [9.0], 2)]
-    assert answer(rows, ("row_id", "v", "d", "shard", "asks", "bound", "query_row", "score")) == brute(rows)
+    assert answer(rows, ("row_id", "v", "d", "shard", "asks", "part", "bound", "query_row", "score")) == brute(rows)
 
 
 def test_repeated_rows_are_rows_each(spark, answer):
@@ -58,7 +58,8 @@ def test_repeated_rows_are_rows_each(spark, answer):
 
 
 def test_many_shards_and_blocks(spark, answer, monkeypatch):
-    monkeypatch.setattr(topk, "BLOCK_QUERIES", 7)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(topk, "TASK_QUERIES", 6)
     monkeypatch.setattr(topk.top_k, "__defaults__", (5, 60))
     rows = vectors(2, 1000, d=6)
     assert answer(rows) == brute(rows)
