@@ -105,7 +105,7 @@ _TYPED = {
         total_area_sqm DOUBLE""",
 }
 
-# One line of documentation per table.
+# One line of documentation per table.
 DESCRIPTIONS = {
     (RAW, "property_boundaries"): "Parcel boundaries as delivered",
     (RAW, "permits_active"): "Active building permits as delivered",
@@ -128,6 +128,16 @@ DESCRIPTIONS = {
 }
 
 
+_TYPES = {
+    "STRING": T.StringType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+}
+
+
 class ContractError(ValueError):
     """A frame lacks columns that its table contract names."""
 
@@ -145,7 +155,8 @@ def contract(layer: str, table: str) -> T.StructType:
         return T.StructType(fields)
     if (layer, table) not in _TYPED:
         raise KeyError(f"no contract for {layer}.{table}")
-    return T.StructType.fromDDL(" ".join(_TYPED[layer, table].split()))
+    columns = [column.split() for column in _TYPED[layer, table].split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns])
 
 
 def source_columns(table: str) -> list[str]:

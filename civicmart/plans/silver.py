@@ -7,9 +7,9 @@ dates are parsed leniently.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,6 +147,53 @@ def _cleaned(
     ]
 
 
+class Rejections:
+    """Counts of cells with text that became NULL, taken while a table is written.
+
+    Handed to a builder as ``watch``; ``counts`` waits for the write.
+    """
+
+    def __init__(self) -> None:
+        self._watched: dict[str, Observation] = {}
+
+    def __call__(self, source: str) -> Observation:
+        self._watched[source] = Observation()
+        return self._watched[source]
+
+    def counts(self) -> dict[tuple[str, str], int]:
+        return {(source, column): n for source, seen in self._watched.items() for column, n in seen.get.items()}
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """(source, column, rejected): one row per typed column."""
+        rows = [(source, column, n) for (source, column), n in self.counts().items()]
+        return spark.createDataFrame(rows, "source string, column string, rejected long")
+
+
+Watch = Callable[[str], Observation]
+
+
+def _watched(df: DataFrame, source: str, typed: Mapping[str, tuple[Column, Column]], watch: Watch | None) -> DataFrame:
+    """``df``, whose rows are counted on their way by column (name -> raw cell, parsed cell)."""
+    if watch is None:
+        return df
+    lost = [F.count_if(cells.has_text(cell) & parsed.isNull()).alias(name) for name, (cell, parsed) in typed.items()]
+    return df.observe(watch(source), *lost)
+
+
+def _typed(
+    mapping: Mapping[str, str],
+    kinds: Mapping[str, T.DataType],
+    untouched: tuple[str, ...] = (),
+    date_pattern: str = "yyyy-MM-dd",
+) -> dict[str, tuple[Column, Column]]:
+    """Raw and parsed cell of the columns of ``mapping`` that are not text."""
+    return {
+        name: (_quoted(raw), _parsed(_quoted(raw), kinds[name], date_pattern))
+        for name, raw in mapping.items()
+        if name not in untouched and not isinstance(kinds[name], T.StringType)
+    }
+
+
 def _kinds(table: str) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in contract(CLEAN, table)}
 
@@ -155,10 +202,11 @@ def _finished(df: DataFrame, table: str) -> DataFrame:
     return conform(df.withColumn(STAMP, F.current_timestamp()), contract(CLEAN, table))
 
 
-def properties(boundaries: DataFrame) -> DataFrame:
+def properties(boundaries: DataFrame, watch: Watch | None = None) -> DataFrame:
     """Parcels by their latest effective date, with address and area in square feet."""
     passed = ("parcel_id", "feature_type", "address_number")
-    parcels = boundaries.select(
+    typed = _typed(PROPERTY_CELLS, _kinds("properties"), passed, "yyyy/MM/dd")
+    parcels = _watched(boundaries, "property_boundaries", typed, watch).select(
         *_cleaned(boundaries, PROPERTY_CELLS, _kinds("properties"), passed, "yyyy/MM/dd")
     ).filter(F.col("parcel_id").isNotNull())
     current = latest_per_key(parcels, ["parcel_id"], "date_effective")
@@ -179,10 +227,13 @@ def building_assets(assets: DataFrame) -> DataFrame:
     return assets.select(*_cleaned(assets, BUILDING_CELLS, kinds, ("floc_id",)))
 
 
-def building_permits(active: DataFrame, cleared: DataFrame, fill_null: bool = False) -> DataFrame:
+def building_permits(
+    active: DataFrame, cleared: DataFrame, fill_null: bool = False, watch: Watch | None = None
+) -> DataFrame:
     """Permits of both extracts, highest revision each; blank permit numbers are left out."""
     origin = "_permit_source"
     both = union_tagged({"active": active, "cleared": cleared}, origin)
+    both = _watched(both, "permits", _typed(PERMIT_CELLS, _kinds("building_permits")), watch)
     permits = both.select(*_cleaned(both, PERMIT_CELLS, _kinds("building_permits")), origin).filter(
         cells.has_text("permit_number")
     )
@@ -204,32 +255,37 @@ def building_permits(active: DataFrame, cleared: DataFrame, fill_null: bool = Fa
     )
 
 
-def registrations(raw: DataFrame) -> DataFrame:
+def registrations(raw: DataFrame, watch: Watch | None = None) -> DataFrame:
     """Typed apartment registrations; a confirmed cell wins over the declared one, junk or not.
 
     Without either column the figure is NULL.
     """
 
-    def confirmed(what: str) -> Column:
+    def confirmed(what: str) -> tuple[Column, Column]:
         known = [F.col(c) for c in (f"CONFIRMED_{what}", f"NO_OF_{what}") if c in raw.columns]
-        return cells.as_int(F.coalesce(*known, F.lit(None).cast("string")))
+        cell = F.coalesce(*known, F.lit(None).cast("string"))
+        return cell, cells.as_int(cell)
 
-    return raw.select(
-        *_cleaned(raw, REGISTRATION_CELLS, _kinds("apartment_buildings")),
-        confirmed("STOREYS").alias("storeys"),
-        confirmed("UNITS").alias("units"),
+    figures = {"storeys": confirmed("STOREYS"), "units": confirmed("UNITS")}
+    kinds = _kinds("apartment_buildings")
+    return _watched(raw, "apartment_registration", _typed(REGISTRATION_CELLS, kinds) | figures, watch).select(
+        *_cleaned(raw, REGISTRATION_CELLS, kinds), *[parsed.alias(name) for name, (_, parsed) in figures.items()]
     )
 
 
-def evaluations(raw: DataFrame) -> DataFrame:
-    return raw.select(*_cleaned(raw, EVALUATION_CELLS, _kinds("apartment_buildings")))
+def evaluations(raw: DataFrame, watch: Watch | None = None) -> DataFrame:
+    kinds = _kinds("apartment_buildings")
+    raw = _watched(raw, "apartment_evaluations", _typed(EVALUATION_CELLS, kinds), watch)
+    return raw.select(*_cleaned(raw, EVALUATION_CELLS, kinds))
 
 
 def apartment_buildings(
-    registration: DataFrame, evaluation: DataFrame, as_of_year: int = AS_OF_YEAR
+    registration: DataFrame, evaluation: DataFrame, as_of_year: int = AS_OF_YEAR, watch: Watch | None = None
 ) -> DataFrame:
     """Every registration with the latest evaluation of its building, if any."""
-    joined = join_latest(registrations(registration), evaluations(evaluation), "rsn", "year_evaluated")
+    joined = join_latest(
+        registrations(registration, watch), evaluations(evaluation, watch), "rsn", "year_evaluated"
+    )
     return _finished(
         joined.withColumns(
             {
@@ -251,10 +307,14 @@ def in_province_by_keyword(place: Column) -> Column:
     return contains_any(place, PROVINCE_KEYWORDS)
 
 
-def housing_price_index(raw: DataFrame) -> DataFrame:
+def housing_price_index(raw: DataFrame, watch: Watch | None = None) -> DataFrame:
     """Index values of the province by month; rows without a value are left out."""
+    parsed = {
+        "reference_date": (F.col("REF_DATE"), cells.month_start("REF_DATE")),
+        "index_value": (F.col("VALUE"), cells.as_double("VALUE")),
+    }
     typed = (
-        raw.filter(in_province(F.col("GEO")))
+        _watched(raw.filter(in_province(F.col("GEO"))), "housing_price_index", parsed, watch)
         .select(
             cells.month_start("REF_DATE").alias("reference_date"),
             F.col("REF_DATE").alias("ref_period"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from civicmart.contracts import CLEAN, DESCRIPTIONS, MART, RAW, contract, tables
+from civicmart.contracts import CLEAN, DESCRIPTIONS, MART, RAW, conform, contract, tables
 from civicmart.sources.layers import PARQUET
 
 # Tables that share the definition of another one.
@@ -39,3 +39,18 @@ def create_tables(spark: SparkSession, fmt: str = PARQUET, namespace: str = "")
             spark.sql(table_ddl(layer, table, fmt, namespace))
             made.append(f"{namespace}{layer}.{table}")
     return made
+
+
+def insert_table(df: DataFrame, layer: str, table: str, namespace: str = "") -> None:
+    """``df``, brought to its contract, as the whole new content of a catalog table."""
+    conform(df, contract(layer, table)).write.insertInto(f"{namespace}{layer}.{table}", overwrite=True)
+
+
+def catalog_columns(spark: SparkSession, namespace: str = "") -> list[tuple[str, str, int, str, str]]:
+    """(layer, table, position, column, type) of all tables, as the catalog knows them."""
+    found = []
+    for layer in (RAW, CLEAN, MART):
+        for table in tables(layer):
+            listed = spark.catalog.listColumns(f"{namespace}{layer}.{table}")
+            found += [(layer, table, i, c.name, c.dataType) for i, c in enumerate(listed, 1)]
+    return found

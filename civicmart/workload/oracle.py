@@ -6,6 +6,7 @@ that the lenient parsing is checked as well.
 
 from __future__ import annotations
 
+from civicmart.contracts import CLEAN, MART, RAW, contract, tables
 from civicmart.workload.standins import FIRST_YEAR, PLACE_SQL
 
 YEARS = "application_year BETWEEN 1998 AND 2000"
@@ -459,3 +460,77 @@ ORACLE: dict[str, str] = {
     "properties_by_count": f"WITH {OVERVIEW} SELECT feature_type, property_count FROM overview",
     "properties_by_area": f"WITH {OVERVIEW} SELECT feature_type, avg_area_sqft FROM overview",
 }
+
+# Layer table -> the query that has it as its last table, and that table's name.
+_CTES = {
+    (CLEAN, "building_permits"): (PERMITS, "permits"),
+    (CLEAN, "properties"): (PARCELS, "parcels"),
+    (CLEAN, "apartment_buildings"): (BUILDINGS, "buildings"),
+    (CLEAN, "housing_price_index"): (INDEX, "price_index"),
+    (MART, "permit_trends"): (TRENDS, "trends"),
+    (MART, "construction_investment"): (INVESTMENT, "investment"),
+    (MART, "apartment_scorecard"): (SCORECARD, "scorecard"),
+    (MART, "housing_development"): (HOUSING, "housing"),
+    (MART, "price_index_trends"): (INDEX_TRENDS, "index_trends"),
+    (MART, "property_overview"): (OVERVIEW, "overview"),
+}
+
+
+def _catalog_rows(layer: str, table: str) -> str:
+    """One row per column: the cells that are known, none in the raw tables."""
+    fields = contract(layer, table)
+    rows = []
+    for i, field in enumerate(fields, 1):
+        counted = "0" if layer == RAW else "count(*)" if field.name == "_silver_timestamp" else f'count("{field.name}")'
+        rows.append(
+            f"{{'layer': '{layer}', 'table_name': '{table}', 'position': CAST({i} AS INTEGER), 'column': '{field.name}', "
+            f"'type': '{field.dataType.simpleString()}', 'filled': CAST({counted} AS BIGINT)}}"
+        )
+    if layer == RAW:
+        return f"SELECT unnest([{', '.join(rows)}], recursive := true)"
+    cte, name = _CTES[layer, table]
+    return f"SELECT unnest(l, recursive := true) FROM (WITH {cte} SELECT [{', '.join(rows)}] AS l FROM {name})"
+
+
+ORACLE["catalog_layers"] = " UNION ALL ".join(
+    _catalog_rows(layer, table) for layer in (RAW, CLEAN, MART) for table in tables(layer)
+)
+
+# Source -> column -> the rows of the stand-in whose cell is junk; other typed columns parse everywhere.
+_JUNK = {
+    "permits": ("lineitem", {
+        "revision_number": "l_suppkey % 13 = 0", "geo_id": "false", "application_date": "l_partkey % 53 = 0",
+        "issued_date": "false", "completed_date": "false", "dwelling_units_created": "false",
+        "dwelling_units_lost": "false", "estimated_construction_cost": "l_partkey % 31 = 0"}),
+    "property_boundaries": ("part", {
+        "date_effective": "p_size % 7 = 0", "stated_area_sqm": "false", "object_id": "false"}),
+    "apartment_registration": ("supplier", {
+        "rsn": "s_suppkey % 17 = 0", "year_built": "false", "year_registered": "false", "elevators": "false",
+        "storeys": "s_suppkey % 29 = 5", "units": "false"}),
+    "apartment_evaluations": ("lineitem", {
+        "rsn": "l_suppkey % 10 = 3", "year_evaluated": "false", "eval_score": "l_suppkey % 25 = 6",
+        "proactive_score": "false", "reactive_score": "false", "areas_evaluated": "false", "latitude": "false",
+        "longitude": "false"}),
+    "housing_price_index": (f"""(SELECT o_custkey, {PLACE_SQL} AS place FROM orders)
+        WHERE place IN ('Toronto', 'London', 'Windsor', 'Guelph', 'Hamilton') OR contains(place, 'Ontario')""", {
+        "reference_date": "false", "index_value": "o_custkey % 37 = 0"}),
+}
+ORACLE["rejected_cells"] = " UNION ALL ".join(
+    f"SELECT '{source}' AS source, '{column}' AS \"column\", count_if({junk})::BIGINT AS rejected FROM {rows}"
+    for source, (rows, columns) in _JUNK.items()
+    for column, junk in columns.items()
+)
+
+_LANDED = {
+    "permits_active": "(SELECT 1 FROM lineitem WHERE l_linestatus = 'O')",
+    "permits_cleared": "(SELECT 1 FROM lineitem WHERE l_linestatus <> 'O')",
+    "property_boundaries": "part", "building_assets": "part", "apartment_registration": "supplier",
+    "apartment_evaluations": "lineitem", "housing_price_index": "orders",
+}
+ORACLE["pipeline_end_to_end"] = " UNION ALL ".join(
+    [f"SELECT '{RAW}' AS layer, '{t}' AS table_name, count(*) AS written, count(*) AS rows FROM {q}" for t, q in _LANDED.items()]
+    + [
+        f"SELECT '{layer}', '{table}', n, n FROM (WITH {cte} SELECT count(*) AS n FROM {name})"
+        for (layer, table), (cte, name) in _CTES.items()
+    ]
+)

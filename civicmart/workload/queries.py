@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +14,9 @@ from civicmart.functions import cells, display, tiers
 from civicmart.operators.medians import exact_median
 from civicmart.operators.series import months_earlier, pivot_found
 from civicmart.operators.shaping import contains_any, dimension_values, rename_present
-from civicmart.plans import gold, serving, silver
+from civicmart.plans import gold, pipeline, serving, silver
 from civicmart.session import scratch_dir
+from civicmart.sinks.catalog import catalog_columns, create_tables, insert_table
 from civicmart.sinks.tables import export_parquet, layer_summary, replace_table
 from civicmart.sources.extracts import EXTRACTS, profile, read_csv, read_extract, read_present
 from civicmart.sources.layers import MissingTableError, read_mart, read_table
@@ -65,7 +68,7 @@ CLEAN_BUILDERS = {
     "housing_price_index": _index,
 }
 MART_BUILDERS = {
-    "permit_trends": (lambda df: gold.permit_trends(df, raw.FIRST_YEAR), "building_permits"),
+    "permit_trends": (lambda df: gold.permit_trends(df, raw.FIRST_YEAR, one_row_per_permit=True), "building_permits"),
     "construction_investment": (lambda df: gold.construction_investment(df, raw.FIRST_YEAR), "building_permits"),
     "housing_development": (lambda df: gold.housing_development(df, raw.FIRST_YEAR), "building_permits"),
     "apartment_scorecard": (gold.apartment_scorecard, "apartment_buildings"),
@@ -253,6 +256,72 @@ def layer_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return copied.withColumn("rows_written", F.lit(rows).cast("bigint"))
 
 
+@registered
+def catalog_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """All catalog tables, the cleaned and reporting ones filled: every column with its known cells, read by name."""
+    namespace = f"made_{uuid.uuid4().hex[:12]}_"
+    create_tables(spark, namespace=namespace)
+    filled = []
+    for layer, names in ((CLEAN, CLEAN_BUILDERS), (MART, MART_BUILDERS)):
+        for table in names:
+            insert_table(stored(spark, sf, layer, table), layer, table, namespace)
+            df = spark.table(f"{namespace}{layer}.{table}")
+            known = df.agg(*[F.count(f"`{c}`").alias(c) for c in df.columns])
+            cells_ = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("filled")) for c in df.columns])
+            filled.append(known.select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.explode(cells_).alias("c")))
+    counted = reduce(DataFrame.unionByName, filled).select("layer", "table_name", "c.column", "c.filled")
+    listed = spark.createDataFrame(
+        catalog_columns(spark, namespace), "layer string, table_name string, position int, column string, type string"
+    )
+    return listed.join(counted, ["layer", "table_name", "column"], "left").na.fill(0, ["filled"])
+
+
+@registered
+def rejected_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells with text that did not parse, per typed column, counted while the cleaned tables are computed."""
+    rejections = silver.Rejections()
+    cleaned = [
+        silver.building_permits(*raw.permit_extracts(spark, sf), watch=rejections),
+        silver.properties(raw.parcel_extract(spark, sf), watch=rejections),
+        silver.apartment_buildings(raw.registration_extract(spark, sf), raw.evaluation_extract(spark, sf), watch=rejections),
+        silver.housing_price_index(raw.index_extract(spark, sf), watch=rejections),
+    ]
+    for df in cleaned:
+        df.write.format("noop").mode("overwrite").save()
+    return rejections.frame(spark)
+
+
+@registered
+def pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV files to raw, cleaned and reporting tables; the rows that each write reported, and that are read back."""
+    raw_dir, lake = scratch_dir(spark, "raw"), scratch_dir(spark, "lake")
+    active, cleared = raw.permit_extracts(spark, sf)
+    extracts = {
+        "permits_active": active,
+        "permits_cleared": cleared,
+        "property_boundaries": raw.parcel_extract(spark, sf),
+        "building_assets": raw.asset_extract(spark, sf),
+        "apartment_registration": raw.registration_extract(spark, sf),
+        "apartment_evaluations": raw.evaluation_extract(spark, sf),
+        "housing_price_index": raw.index_extract(spark, sf),
+    }
+    for name, df in extracts.items():
+        _csv(df, f"{raw_dir}/{EXTRACTS[name].file}")
+    written = [
+        (layer, table, rows)
+        for layer, counts in pipeline.run(spark, raw_dir, lake, first_year=raw.FIRST_YEAR).items()
+        for table, rows in counts.items()
+    ]
+    reported = spark.createDataFrame(written, "layer string, table_name string, written long")
+    read = [
+        read_table(spark, lake, layer, table).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "rows"
+        )
+        for layer, table, _ in written
+    ]
+    return reported.join(reduce(DataFrame.unionByName, read), ["layer", "table_name"])
+
+
 @registered
 def layer_table_summary(spark: SparkSession, sf: str) -> DataFrame:
     return layer_summary({name: raw.table(spark, sf, name) for name in OVERVIEW_TABLES})
