@@ -329,3 +329,44 @@ def test_scratch_is_below_the_configured_folder(spark):
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(10, 8) == 8
     assert shuffle_partitions(100 * 1024**4, 1000) == 819200
+
+
+def test_an_open_quote_over_whole_blocks_is_an_error(spark, tmp_path):
+    """Blocks of 2 kB: a record of one block and a half is read, one that never ends names its file."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        good = tmp_path / "good.csv"
+        lines = "\n".join(f"line {i}" for i in range(350))
+        good.write_text("a,b\n" + "".join(f"{i},x\n" for i in range(300)) + f'1000,"{lines}"\n' + "".join(f"{i},y\n" for i in range(2000, 2300)))
+        got = read_csv(spark, str(good)).collect()
+        assert len(got) == 601 and {r.b for r in got} == {"x", "y", lines}
+        bad = tmp_path / "bad.csv"
+        bad.write_text('a,b\n1,"open\n' + "".join(f"{i},x\n" for i in range(3000)))
+        with pytest.raises(Exception, match=r"a record reaches over two blocks.*bad.csv at byte"):
+            read_csv(spark, str(bad)).collect()
+    finally:
+        for key in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+            spark.conf.unset(f"spark.sql.files.{key}")
+
+
+def test_rejected_cells_are_counted_in_the_write(spark, lake):
+    folder, written = lake
+    rejections = pipeline.silver.Rejections()
+    assert pipeline.clean(spark, folder, rejections=rejections) == written[CLEAN]
+    assert {k: n for k, n in rejections.counts().items() if n} == {("permits", "estimated_construction_cost"): 1}
+    shown = {(r.source, r.column) for r in rejections.frame(spark).collect()}
+    assert ("apartment_registration", "storeys") in shown and ("housing_price_index", "index_value") in shown
+
+
+def test_catalog_tables_are_filled_from_the_lake(spark, lake):
+    folder, written = lake
+    names = pipeline.fill_catalog(spark, folder, "filled_")
+    assert len(names) == 18
+    for layer in (RAW, CLEAN, MART):
+        for table in tables(layer):
+            df = spark.table(f"filled_{layer}.{table}")
+            assert df.count() == written[layer].get(table, 0), table
+            assert df.columns == contract(layer, table).fieldNames()
+    assert spark.table(f"filled_{CLEAN}.building_permits").select(F.max("application_year")).first()[0] == 2020
