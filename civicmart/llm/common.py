@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +29,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shielded(*used: str) -> Callable:
+    """For a step from documents to documents: columns but the ``used`` ones have other names while it works.
+
+    So no column of the caller clashes with one that the step adds, and all come back as they were.
+    """
+
+    def wrap(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(step)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            safe = [c if c in used else f"kept_{i}" for i, c in enumerate(docs.columns)]
+            out = step(docs.toDF(*safe), *args, **options)
+            return out.select(*[F.col(s).alias(c) for s, c in zip(safe, docs.columns)])
+
+        return run
+
+    return wrap
+
+
 def qualified(spark: SparkSession, folder: str) -> str:
     """The folder with its file system, as Spark resolves it: tasks must not take it for one of their own disks."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import ascii_lower, staged
+from civicmart.llm.common import ascii_lower, shielded, staged
 
 WINDOW_WORDS = 13
 SHINGLE_WORDS = 5
@@ -186,6 +186,7 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
     return (n_hit > 0) & (20 * n_hit >= n_words)
 
 
+@shielded("doc_id", "text")
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
     found = contamination(docs, benchmark).where(is_contaminated(F.col("n_hit"), F.col("n_words")))

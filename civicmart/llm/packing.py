@@ -194,7 +194,7 @@ def queue_positions(rows: DataFrame) -> DataFrame:
     """(row_id, source, n, before): where each document stands in its source's queue."""
     bits = max(0, math.ceil(math.log2(max(1, rows.count()) / CHUNK_ROWS)))
     narrow = rows.select("row_id", "doc_id", "source", F.col("doc_tokens").alias("n")).withColumn(
-        "h", F.xxhash64("doc_id", "n")
+        "h", F.xxhash64("doc_id", "n", "row_id")
     )
     # The hash as an unsigned number gives the order; its upper bits are the chunk.
     narrow = narrow.withColumns(

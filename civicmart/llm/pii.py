@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import staged
+from civicmart.llm.common import shielded, staged
 
 KINDS = ("email", "ip", "card", "phone")
 ACCEPTED = 0.9
@@ -306,6 +306,7 @@ def span_text(listed: str) -> Column:
     return F.array_join(F.transform(listed, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+@shielded("doc_id", "text", "n_chars")
 def redacted(docs: DataFrame, accepted: float = ACCEPTED) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; ``n_chars`` follows if it is there."""
     found = spans(docs, accepted).where(F.size("spans") > 0)

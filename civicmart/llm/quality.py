@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import staged
+from civicmart.llm.common import shielded, staged
 
 TRAIN_ROWS = 8192
 LABELLED_SHARE = 0.75
@@ -319,11 +320,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
 
 def judged(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """All rows and columns of ``docs`` with ``__p`` (low_quality, toxic), both probabilities."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, train_rows))
+    model, key = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, train_rows)), uuid.uuid4().hex
 
     @F.pandas_udf("low_quality double, toxic double")
     def score(texts: pd.Series) -> pd.DataFrame:
-        scorer = _scorer(model)
+        scorer = _scorer(key, model)
         values, out = texts.tolist(), []
         for low in range(0, len(values), _TEXTS):
             out += scorer.probabilities(values[low : low + _TEXTS])
@@ -332,12 +333,11 @@ def judged(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) ->
     return docs.withColumn("__p", score("text"))
 
 
-_scorers: dict[int, Scorer] = {}
+_scorers: dict[str, Scorer] = {}
 
 
-def _scorer(model: Broadcast) -> Scorer:
-    """One per Python worker, for the model that it saw last."""
-    key = id(model.value)
+def _scorer(key: str, model: Broadcast) -> Scorer:
+    """One per Python worker, for the model that it saw last; ``key`` names the model."""
     if key not in _scorers:
         _scorers.clear()
         _scorers[key] = Scorer(*model.value)
@@ -348,6 +348,7 @@ def is_rejected(threshold: float = REJECTED) -> Column:
     return (F.col("__p.low_quality") >= threshold) | (F.col("__p.toxic") >= threshold)
 
 
+@shielded("doc_id", "text")
 def accepted(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of ``docs`` that are not rejected."""
     return judged(docs, labels, train_rows).where(~is_rejected()).drop("__p")

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import staged
+from civicmart.llm.common import shielded, staged
 from civicmart.llm.components import components, forest
 
 SHINGLE_WORDS = 3
@@ -216,6 +216,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
     return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id", "kept_hash")
 
 
+@shielded("doc_id", "text")
 def deduplicated(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """One row of each component, with all columns of ``docs``."""
     found = near_duplicates(docs, words, radius)
