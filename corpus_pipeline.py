@@ -1,7 +1,12 @@
 """From raw documents to packed training sequences.
 
 Each stage takes what the stage before has written and read again; all but the last
-return the columns of ``documents``.
+return the columns of ``documents``, further ones of the caller included, whatever their names.
+
+Defined results, in every stage: a null text is an empty one, a null id stays null; rows with
+equal id and text share one verdict and one redaction, and deduplication keeps one of
+them; texts without words are near-duplicates of each other; an empty table gives no rows.
+Without labels nothing is rejected on their account, without benchmark nothing is contaminated.
 """
 
 from __future__ import annotations
