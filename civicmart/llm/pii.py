@@ -5,8 +5,9 @@ Patterns propose spans of four kinds.  Labelers vote on each: the strict rule of
 address ranges, issuers' and countries' first digits), the words around, and whether the
 span stands alone.  Expectation-maximisation estimates for every kind how reliable each
 labeler is; it needs only the counts of vote patterns, of which there are at most
-4 * 3**4.  The posteriors then train the final span classifier, a linear one over a fixed
-set of features.  Spans that pass the strict rule always stay; the classifier adds others.
+4 * 3**4.  The posteriors then train the final span classifier, a linear one over hashed
+features: the shape of the match and the words and signs beside it, not the votes but for
+the strict rule.  Spans that pass the strict rule always stay; the classifier adds others.
 
 Texts are read once.  Matches go with their surroundings to the shared folder, and
 positions are running sums over the matches of one text; patterns are written so that no
@@ -28,6 +29,9 @@ from civicmart.llm.common import shielded, staged
 KINDS = ("email", "ip", "card", "phone")
 ACCEPTED = 0.9
 ROUNDS = 50
+BUCKETS = 1024
+SMOOTHING = 20.0
+BLOCK = 1024
 _AROUND = 40
 
 # Patterns: (name, kind, what a text must hold, pattern).  ``\G`` is the end of the match
@@ -195,18 +199,33 @@ def votes(found: DataFrame) -> DataFrame:
 
 LABELERS = ("v_rule", "v_known", "v_near", "v_alone")
 
+# What a labeler is taken for before any votes are seen: P(vote for | not personal) and
+# P(vote for | personal).  A gazetteer entry or a span that stands alone says little, since
+# nearly everything has it; the check digit and the words around say more.
+BELIEFS = ((0.3, 0.95), (0.6, 0.9), (0.1, 0.9), (0.7, 0.95))
+ANCHOR = 0.25
 
-def reliabilities(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> tuple[float, list[list[list[float]]]]:
+
+def reliabilities(
+    patterns: list[tuple[tuple[int, ...], int]],
+    rounds: int = ROUNDS,
+    beliefs: tuple[tuple[float, float], ...] | None = None,
+    anchor: float = ANCHOR,
+) -> tuple[float, list[list[list[float]]]]:
     """Expectation-maximisation over (votes, count): the prior, and P(vote | class) of each labeler.
 
-    A labeler that abstains says nothing.  The start takes every labeler for right in
-    eight of ten cases, which fixes the meaning of the classes.
+    A labeler that abstains says nothing.  The start are the beliefs (without any: right in
+    eight of ten cases), which fixes the meaning of the classes; they also weigh like a
+    share ``anchor`` of the spans, so that labelers that vote for everything do not
+    make one class of it.
     """
     width = len(patterns[0][0]) if patterns else 0
-    prior, given = 0.5, [[[0.8, 0.2], [0.2, 0.8]] for _ in range(width)]
+    believed = [[[1 - no, no], [1 - yes, yes]] for no, yes in beliefs or ((0.2, 0.8),) * width]
+    prior, given = 0.5, believed
     total = sum(n for _, n in patterns)
+    weight = 1 + (anchor * total if beliefs else 0)
     for _ in range(rounds if total else 0):
-        sums, counts = 0.0, [[[1.0, 1.0], [1.0, 1.0]] for _ in range(width)]
+        sums, counts = 0.0, [[[weight * x for x in side] for side in labeler] for labeler in believed]
         for vote, n in patterns:
             p = posterior(vote, prior, given)
             sums += n * p
@@ -214,7 +233,7 @@ def reliabilities(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROU
                 if v >= 0:
                     counts[k][0][v] += n * (1 - p)
                     counts[k][1][v] += n * p
-        prior = min(0.99, max(0.01, (sums + 1) / (total + 2)))
+        prior = min(0.99, max(0.01, (sums + weight) / (total + 2 * weight)))
         given = [[[x / sum(c) for x in c] for c in labeler] for labeler in counts]
     return prior, given
 
@@ -231,70 +250,104 @@ def posterior(vote: tuple[int, ...], prior: float, given: list[list[list[float]]
 
 
 def _features() -> Column:
-    """Names of a span's features; their number is fixed by the kinds and steps."""
-    kind = F.col("kind")
-    steps = {
-        "rule": F.col("v_rule"),
-        "known": F.col("v_known"),
-        "near": F.col("v_near"),
-        "alone": F.col("v_alone"),
-        "digits": F.least(F.char_length("digits"), F.lit(24)),
-        "length": F.least(F.floor(F.char_length("match") / 4), F.lit(16)),
+    """Buckets of what a span and its surroundings look like; the labelers' opinions on words are not among them."""
+    match, before, after = F.col("match"), F.col("before"), F.col("after")
+    shape = F.regexp_replace(F.regexp_replace(F.substring("match", 1, 64), "[0-9]", "9"), r"\p{L}+", "a")
+    seen = {
         "pattern": F.col("pattern"),
+        "rule": F.col("v_rule").cast("string"),
+        "digits": F.least(F.char_length("digits"), F.lit(24)).cast("string"),
+        "length": F.least(F.floor(F.char_length("match") / 4), F.lit(16)).cast("string"),
+        "shape": shape,
+        "begin": F.substring("digits", 1, 2),
+        "ending": F.lower(F.regexp_extract(match, r"([A-Za-z]+)$", 1)),
+        "word_before": F.lower(F.regexp_extract(before, r"(\p{L}+)[^\p{L}]*$", 1)),
+        "word_earlier": F.lower(F.regexp_extract(before, r"(\p{L}+)[^\p{L}]+\p{L}+[^\p{L}]*$", 1)),
+        "word_after": F.lower(F.regexp_extract(after, r"^[^\p{L}]*(\p{L}+)", 1)),
+        "sign_before": F.regexp_replace(F.substring(before, -1, 1), r"\p{L}", "a"),
+        "sign_after": F.regexp_replace(F.substring(after, 1, 1), r"\p{L}", "a"),
     }
-    return F.array(*[F.concat_ws("|", kind, F.lit(name), step.cast("string")) for name, step in steps.items()])
+    names = [F.concat_ws("|", "kind", F.lit(name), value) for name, value in seen.items()]
+    return F.array(*[F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int") for name in names])
 
 
 def classifier(voted: DataFrame) -> Column:
-    """The probability that a span is personal data, as a column over ``votes``."""
+    """The probability that a span is personal data, as a column over ``votes``.
+
+    A linear scorer over hashed features; their weights are log odds under the posterior
+    labels, and a feature seen a few times only weighs next to nothing.
+    """
     counted = voted.groupBy("kind", *LABELERS).count().collect()
-    chance, fitted = F.lit(0.0), {}
+    chance, score, totals = F.lit(0.0), F.lit(0.0), {}
     for kind in KINDS:
         seen = [(tuple(r[v] for v in LABELERS), r["count"]) for r in counted if r["kind"] == kind]
-        fitted[kind] = reliabilities(seen)
-        for vote, _ in seen:
-            same = F.col("kind") == kind
+        fitted = reliabilities(seen, beliefs=BELIEFS)
+        yes = no = 0.0
+        for vote, n in seen:
+            same, p = F.col("kind") == kind, posterior(vote, *fitted)
+            yes, no = yes + n * p, no + n * (1 - p)
             for name, v in zip(LABELERS, vote):
                 same &= F.col(name) == v
-            chance = F.when(same, posterior(vote, *fitted[kind])).otherwise(chance)
-    weighted = voted.select("kind", F.explode(_features()).alias("feature"), chance.alias("p"))
-    sums = weighted.groupBy("kind", "feature").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect()
-    weights: list[Column] = []
-    score = F.lit(0.0)
-    for kind in KINDS:
-        rows = [r for r in sums if r["kind"] == kind]
-        yes, no = sum(r["yes"] for r in rows) / 7 + 1, sum(r["no"] for r in rows) / 7 + 1
-        for r in rows:
-            weights += [F.lit(r["feature"]), F.lit(math.log((r["yes"] + 1) / (yes + 2) * (no + 2) / (r["no"] + 1)))]
-        score = F.when(F.col("kind") == kind, math.log(yes / no)).otherwise(score)
-    if not weights:
+            chance = F.when(same, p).otherwise(chance)
+        totals[kind] = yes, no
+        score = F.when(F.col("kind") == kind, math.log((yes + 1) / (no + 1))).otherwise(score)
+    weighted = voted.select("kind", F.explode(_features()).alias("bucket"), chance.alias("p"))
+    sums = weighted.groupBy("kind", "bucket").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect()
+    if not sums:
         return F.lit(0.0)
-    table = F.create_map(*weights)
-    total = F.aggregate(_features(), score, lambda a, f: a + F.coalesce(F.try_element_at(table, f), F.lit(0.0)))
-    return 1 / (1 + F.exp(-total))
+    weights = {kind: [0.0] * BUCKETS for kind in KINDS}
+    for r in sums:
+        yes, no = totals[r["kind"]]
+        usual = yes / (yes + no)
+        if 0 < usual < 1:
+            for_it = (r["yes"] + SMOOTHING * usual) / (yes + SMOOTHING)
+            against = (r["no"] + SMOOTHING * (1 - usual)) / (no + SMOOTHING)
+            weights[r["kind"]][r["bucket"]] = math.log(for_it / against)
+    table = F.lit(None)
+    for kind, listed in weights.items():
+        values = F.expr("array(" + ",".join(f"{w!r}D" for w in listed) + ")")
+        table = F.when(F.col("kind") == kind, values).otherwise(table)
+    return 1 / (1 + F.exp(-F.aggregate(_features(), score, lambda sum_, bucket: sum_ + F.get(table, bucket))))
+
+
+def scored(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All rows, and every match with ``strict`` and ``p``, the classifier's probability."""
+    rows, found = candidates(docs)
+    voted = staged(votes(found), "votes")
+    return rows, voted.withColumn("p", classifier(voted))
+
+
+def kept_spans(docs: DataFrame, accepted: float = ACCEPTED) -> tuple[DataFrame, DataFrame]:
+    """All rows, and one row (row_id, strict, no, start, end, kind) per span that passes.
+
+    An added span never overlaps one that stays.  Both sides of a span are seen by running
+    extremes, so the work on a text grows with its spans and not with their square.
+    """
+    rows, found = scored(docs)
+    number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
+    spans = found.where(F.col("strict") | (F.col("p") >= accepted)).select(
+        "row_id", "strict", number.alias("no"),
+        F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "kind",
+    )
+    from_left = Window.partitionBy("row_id").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    from_right = Window.partitionBy("row_id").orderBy(F.desc("start")).rowsBetween(Window.unboundedPreceding, 0)
+    spans = spans.withColumn("reached", F.max(F.when(F.col("strict"), F.col("end"))).over(from_left))
+    spans = spans.withColumn("next", F.min(F.when(F.col("strict"), F.col("start"))).over(from_right))
+    touched = (F.col("reached") > F.col("start")) | (F.col("next") < F.col("end"))
+    return rows, spans.where(F.col("strict") | ~F.coalesce(touched, F.lit(False))).drop("reached", "next")
 
 
 def spans(docs: DataFrame, accepted: float = ACCEPTED) -> DataFrame:
     """(row_id, doc_id, text_hash, base, spans) for every row of (doc_id, text).
 
-    ``base`` and ``spans`` are arrays of (kind, start, end), by kind and start.  An added
-    span never overlaps one that stays.
+    ``base`` and ``spans`` are arrays of (kind, start, end), by kind and start.
     """
-    rows, found = candidates(docs)
-    voted = staged(votes(found), "votes")
-    scored = voted.withColumn("added", ~F.col("strict") & (classifier(voted) >= accepted)).where("strict OR added")
-    number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
-    span = F.struct(
-        number.alias("no"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "kind"
-    )
-    grouped = scored.groupBy("row_id").agg(
+    rows, kept = kept_spans(docs, accepted)
+    span = F.struct("no", "start", "end", "kind")
+    grouped = kept.groupBy("row_id").agg(
         F.array_sort(F.collect_list(F.when(F.col("strict"), span))).alias("base"),
-        F.array_sort(F.collect_set(F.when(F.col("added"), span))).alias("more"),
+        F.array_sort(F.collect_set(span)).alias("spans"),
     )
-    clear = F.filter(
-        "more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    )
-    grouped = grouped.select("row_id", "base", F.array_sort(F.concat("base", clear)).alias("spans"))
     none = F.array().cast("array<struct<no:int,start:bigint,end:bigint,kind:string>>")
     return rows.join(grouped, "row_id", "left").select(
         "row_id", "doc_id", "text_hash", F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans")
@@ -306,44 +359,67 @@ def span_text(listed: str) -> Column:
     return F.array_join(F.transform(listed, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _cuts(kept: DataFrame) -> DataFrame:
+    """(row_id, blocks): what to cut out of each text, by blocks of ``BLOCK`` code points.
+
+    Spans that overlap are one cut, of the first one's kind.  ``blocks`` has (block, parts) by
+    block, a part is (from, to, label) inside its block; the label stands where the cut begins.
+    """
+    ordered = Window.partitionBy("row_id").orderBy("start", "end", "kind")
+    reached = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    kept = kept.withColumn("new", F.when(reached > F.col("start"), 0).otherwise(1))
+    kept = kept.withColumn("cut", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    cuts = kept.groupBy("row_id", "cut").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "end", "kind")).alias("kind")
+    )
+    blocks = F.sequence(F.floor(F.col("start") / BLOCK), F.floor((F.col("end") - 1) / BLOCK))
+    parts = cuts.select("row_id", "start", "end", "kind", F.posexplode(blocks).alias("nth", "block"))
+    begin = F.col("block") * BLOCK
+    part = F.struct(
+        F.greatest(F.col("start") - begin, F.lit(0)).cast("int").alias("from"),
+        F.least(F.col("end") - begin, F.lit(BLOCK)).cast("int").alias("to"),
+        F.when(F.col("nth") == 0, F.concat(F.lit("["), F.upper("kind"), F.lit("]"))).otherwise("").alias("label"),
+    )
+    per_block = parts.groupBy("row_id", "block").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    return per_block.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("block", "parts"))).alias("blocks"))
+
+
+def _cut_out(text: Column, blocks: Column) -> Column:
+    """``text`` without its cuts.  Every block is walked once for each of its own cuts, never from the text's start."""
+    none = F.array().cast("array<struct<from:int,to:int,label:string>>")
+
+    def with_gap(here: Column, i: Column) -> Column:
+        following = F.coalesce(F.get(blocks, i + 1)["block"], here["block"] + 1)
+        return F.concat(F.array(here["parts"]), F.array_repeat(none, (following - here["block"] - 1).cast("int")))
+
+    # One array of parts for every block up to the last that has any.
+    leading = F.array_repeat(none, F.get(blocks, F.lit(0))["block"].cast("int"))
+    parts_of_blocks = F.concat(leading, F.flatten(F.transform(blocks, with_gap)))
+
+    def without(block: Column, parts: Column) -> Column:
+        def piece(part: Column, i: Column) -> Column:
+            begin = F.when(i > 0, F.get(parts, i - 1)["to"]).otherwise(0)
+            return F.concat(F.substring(block, begin + 1, part["from"] - begin), part["label"])
+
+        rest = F.substring(block, F.try_element_at(parts, F.lit(-1))["to"] + 1, F.lit(BLOCK))
+        cut = F.concat(F.array_join(F.transform(parts, piece), ""), rest)
+        return F.when(F.coalesce(F.size(parts), F.lit(0)) > 0, cut).otherwise(block)
+
+    in_blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.array_join(F.zip_with(in_blocks, parts_of_blocks, without), "")
+
+
 @shielded("doc_id", "text", "n_chars")
 def redacted(docs: DataFrame, accepted: float = ACCEPTED) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; ``n_chars`` follows if it is there."""
-    found = spans(docs, accepted).where(F.size("spans") > 0)
+    rows, kept = kept_spans(docs, accepted)
+    found = rows.join(_cuts(kept), "row_id")
     # Equal ids with equal texts have equal spans.
-    found = found.select(F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("text_hash").alias("__hash"), "spans")
-    by_place = F.array_sort(F.transform("spans", lambda s: F.struct(*[s[c].alias(c) for c in ("start", "end", "kind")])))
-    merged = F.aggregate(
-        by_place,
-        F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>"),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] > s["start"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.try_element_at(done, F.lit(-1))["start"].alias("start"),
-                        F.greatest(F.try_element_at(done, F.lit(-1))["end"], s["end"]).alias("end"),
-                        F.try_element_at(done, F.lit(-1))["kind"].alias("kind"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(s))),
-    )
-    found = found.dropDuplicates(["__id", "__hash"]).select("__id", "__hash", merged.alias("__cuts"))
+    found = found.select(F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("text_hash").alias("__hash"), "blocks")
+    found = found.dropDuplicates(["__id", "__hash"])
     keyed = docs.withColumns({"__id": F.coalesce("doc_id", F.lit(0)), "__hash": F.xxhash64("text")})
     joined = keyed.join(found, ["__id", "__hash"], "left")
-
-    def piece(cut: Column, i: Column) -> Column:
-        begin = F.when(i > 0, F.get("__cuts", i - 1)["end"]).otherwise(0)
-        kept = F.substring(F.col("text"), (begin + 1).cast("int"), (cut["start"] - begin).cast("int"))
-        return F.concat(kept, F.lit("["), F.upper(cut["kind"]), F.lit("]"))
-
-    last = F.try_element_at("__cuts", F.lit(-1))["end"]
-    rest = F.substring(F.col("text"), (last + 1).cast("int"), F.char_length("text"))
-    clean = F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(
-        F.concat(F.array_join(F.transform("__cuts", piece), ""), rest)
-    )
+    clean = F.when(F.col("blocks").isNull(), F.col("text")).otherwise(_cut_out(F.col("text"), F.col("blocks")))
     columns = [clean.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     out = joined.select(*columns)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
