@@ -35,9 +35,12 @@ from civicmart.llm.common import shielded, staged
 TRAIN_ROWS = 8192
 LABELLED_SHARE = 0.75
 DIMENSIONS = 1 << 18
-EPOCHS = 6
 REJECTED = 0.5
 LEAST_DOCUMENTS = 3
+# Of both heads, low quality and toxic.
+EPOCHS = (6, 12)
+RATES = (0.3, 1.0)
+LEAST_DEVIATIONS = (0.0, 5.0)
 POSITIVE_WEIGHTS = (1.0, 5.0)
 _PER_WORD = 4
 _WEIGHTS_KEPT = 300_000
@@ -92,7 +95,7 @@ def votes(text: str) -> str:
         _three(_variety(plain), 0.45, 0.25) if n >= 40 else "-",
         _three(sum(starmap(eq, zip(words, words[1:]))) / n, 0.03, 0.15) if n >= 10 else "-",
         _three(sum(map(STOP_WORDS.__contains__, plain)) / n, 0.12, 0.03) if n >= 20 else "-",
-        "1" if sum(map(INSULTS.__contains__, plain)) >= max(2, n / 200) else "-",
+        _three(sum(map(INSULTS.__contains__, plain)), 0, max(2, n / 200)),
     ]
     return "".join(out)
 
@@ -100,13 +103,18 @@ def votes(text: str) -> str:
 # How a labeler is taken to vote at the start, on good and on bad documents.  Bad documents
 # are of many kinds, of which a labeler knows one or two: it calls the others good.
 _START = ({"0": 0.96, "1": 0.04}, {"0": 0.45, "1": 0.55})
+# Who labels a text toxic has read it; a list of insults knows one language, and would outvote the label.
+_READ = ({"0": 0.999, "1": 0.001}, {"0": 0.001, "1": 0.999})
 
 
-def accuracies(patterns: list[tuple[str, float]], rounds: int = 50) -> tuple[float, list[tuple[dict, dict]]]:
+def accuracies(
+    patterns: list[tuple[str, float]], rounds: int = 50, trusted: dict[int, tuple[dict, dict]] | None = None
+) -> tuple[float, list[tuple[dict, dict]]]:
     """Expectation-maximisation over (votes, count): the share of bad documents, and for every
-    labeler P(vote | good) and P(vote | bad); to abstain says nothing."""
+    labeler P(vote | good) and P(vote | bad); to abstain says nothing.  ``trusted`` ones keep theirs."""
     width = len(patterns[0][0]) if patterns else 0
-    share, given = 0.2, [_START for _ in range(width)]
+    trusted = trusted or {}
+    share, given = 0.2, [trusted.get(k, _START) for k in range(width)]
     total = sum(n for _, n in patterns)
     for _ in range(rounds if total else 0):
         bad_sum, sums = 1.0, [tuple(dict(side) for side in _START) for _ in range(width)]
@@ -119,6 +127,7 @@ def accuracies(patterns: list[tuple[str, float]], rounds: int = 50) -> tuple[flo
                     sums[k][1][v] += n * p
         share = min(0.9, max(0.001, bad_sum / (total + 2)))
         given = [tuple({v: x / sum(side.values()) for v, x in side.items()} for side in pair) for pair in sums]
+        given = [trusted.get(k, pair) for k, pair in enumerate(given)]
     return share, given
 
 
@@ -208,15 +217,27 @@ def _sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def train(rows: pd.DataFrame, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
+def _telling(places: list[np.ndarray], wanted: list[float], deviations: float) -> np.ndarray:
+    """The places whose documents' targets lie that many standard deviations off what chance gives.
+
+    Rare words, of which a text may have hundreds, would otherwise explain the sample by heart.
+    """
+    met, sums = np.zeros(DIMENSIONS, np.int64), np.zeros(DIMENSIONS)
+    for at, target in zip(places, wanted):
+        met[at] += 1
+        sums[at] += target
+    share = sum(wanted) / len(wanted)
+    chance = np.sqrt(met * share * (1 - share))
+    return (met >= LEAST_DOCUMENTS) & (np.abs(sums - met * share) >= deviations * chance)
+
+
+def train(rows: pd.DataFrame, epochs: tuple[int, int] = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
     """Logistic weights of both heads by AdaGrad.
 
     ``rows``: (places, values, bad, toxic); a target that is NaN leaves its head alone.
-    Features of fewer than ``LEAST_DOCUMENTS`` rows are left out, as they only memorise.
+    Features of fewer than ``LEAST_DOCUMENTS`` rows are left out, as they only memorise, and
+    so are those nearer to chance than ``LEAST_DEVIATIONS``.
     """
-    met = np.zeros(DIMENSIONS, np.int64)
-    for at in rows["places"]:
-        met[at] += 1
     weights, bias = np.zeros((2, DIMENSIONS), np.float32), np.zeros(2)
     for head, target in enumerate(("bad", "toxic")):
         mine = rows[rows[target].notna()]
@@ -224,21 +245,22 @@ def train(rows: pd.DataFrame, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndar
             bias[head] = -30.0
             continue
         squares, bias_square = np.full(DIMENSIONS, 1e-4, np.float32), 1e-4
-        order = np.random.default_rng(0)
+        order, rate = np.random.default_rng(0), RATES[head]
         places, values, wanted = (mine[c].to_list() for c in ("places", "values", target))
-        shared = [met[at] >= LEAST_DOCUMENTS for at in places]
-        places = [at[k] for at, k in zip(places, shared)]
-        values = [x[k] for x, k in zip(values, shared)]
-        for _ in range(epochs):
+        telling = _telling(places, wanted, LEAST_DEVIATIONS[head])
+        kept = [telling[at] for at in places]
+        places = [at[k] for at, k in zip(places, kept)]
+        values = [x[k] for x, k in zip(values, kept)]
+        for _ in range(epochs[head]):
             for i in order.permutation(len(mine)):
                 at, x = places[i], values[i]
                 error = _sigmoid(float(weights[head, at] @ x) + bias[head]) - wanted[i]
                 error *= 1 + (POSITIVE_WEIGHTS[head] - 1) * wanted[i]
                 slope = error * x
                 squares[at] += slope * slope
-                weights[head, at] -= 0.3 * slope / np.sqrt(squares[at])
+                weights[head, at] -= rate * slope / np.sqrt(squares[at])
                 bias_square += error * error
-                bias[head] -= 0.3 * error / math.sqrt(bias_square)
+                bias[head] -= rate * error / math.sqrt(bias_square)
     return weights, bias
 
 
@@ -268,7 +290,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
     patterns = voted.groupBy("votes", "said").count().collect()
     q = len(QUALITY_LABELERS)
     low = accuracies([(r["votes"][:q] + r["said"][0], r["count"]) for r in patterns])
-    toxic = accuracies([(r["votes"][q:] + r["said"][1], r["count"]) for r in patterns])
+    toxic = accuracies(
+        [(r["votes"][q:] + r["said"][1], r["count"]) for r in patterns], trusted={len(TOXIC_LABELERS): _READ}
+    )
 
     labelled = sum(r["count"] for r in patterns if r["said"] != "--")
     rest = sum(r["count"] for r in patterns) - labelled
@@ -298,8 +322,13 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
         featured, "text_hash long, votes string, said string, places array<int>, values array<float>"
     )
 
-    def targets(heads: pd.Series, model: tuple) -> list[float]:
-        return [posterior(x, *model) if x.strip("-") else math.nan for x in heads]
+    # That a list of one language finds nothing teaches nothing about the others, and what it finds
+    # would come without its counterpart: if labels tell both classes, unlabelled rows leave the toxic head alone.
+    told = {"0", "1"} <= {r["said"][1] for r in patterns}
+
+    def targets(heads: pd.Series, model: tuple, labelled_only: bool = False) -> list[float]:
+        left = heads.str.endswith("-") if labelled_only else ~heads.str.contains("[01]")
+        return [math.nan if out else posterior(x, *model) for x, out in zip(heads, left)]
 
     def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = list(batches)
@@ -307,7 +336,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
             return
         sample = pd.concat(parts, ignore_index=True).sort_values(["text_hash", "votes", "said"], ignore_index=True)
         sample["bad"] = targets(sample["votes"].str[:q] + sample["said"].str[0], low)
-        sample["toxic"] = targets(sample["votes"].str[q:] + sample["said"].str[1], toxic)
+        sample["toxic"] = targets(sample["votes"].str[q:] + sample["said"].str[1], toxic, told)
         weights, bias = train(sample)
         yield pd.DataFrame({"weights": [weights.tobytes()], "bias": [bias.tobytes()]})
 

@@ -92,3 +92,23 @@ def test_scores_do_not_depend_on_what_a_worker_keeps(monkeypatch):
     assert np.allclose([scorer.probabilities([t])[0] for t in texts], whole)
     places, values = quality.features(texts[0])
     assert np.isclose(quality._sigmoid(float(weights[0, places] @ values) + 0.1), whole[0][0], atol=1e-4)
+
+
+def test_held_out_toxic_texts_among_words_met_once(spark, docs, made):
+    """Every text has many words of its own, which must not stand for its label; another alphabet's insults are met."""
+    rng = random.Random(9)
+    rows = []
+    for i, (_, text, _, _) in enumerate([m for m in made if (m[2], m[3]) == (1, 0)]):
+        words = text.split() + ["".join(rng.choices("aeioulmnrst", k=7)) for _ in range(120)]
+        if i % 8 < 2:
+            marks = ["idiot", "moron", "scum"] if i % 8 else ["žebrák" + rng.choice("aeiou") + rng.choice("mnr")]
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(marks))
+        rows.append((i, " ".join(words), int(i % 8 < 2)))
+    labels = spark.createDataFrame([(i, 1, t) for i, _, t in rows if i % 16 < 8], "doc_id long, quality int, toxic int")
+    judged = quality.judged(docs([(i, x) for i, x, _ in rows]), labels).select("doc_id", "__p.toxic").collect()
+    held = {r.doc_id: r.toxic >= 0.5 for r in judged if r.doc_id % 16 >= 8}
+    toxic = [held[i] for i, _, t in rows if i in held and t]
+    clean = [held[i] for i, _, t in rows if i in held and not t]
+    assert len(toxic) > 40 and sum(toxic) / len(toxic) >= 0.9, sum(toxic) / len(toxic)
+    assert sum(clean) / len(clean) <= 0.02, sum(clean) / len(clean)
