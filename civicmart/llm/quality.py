@@ -43,7 +43,7 @@ RATES = (0.3, 1.0)
 LEAST_DEVIATIONS = (0.0, 5.0)
 POSITIVE_WEIGHTS = (1.0, 5.0)
 _PER_WORD = 4
-_WEIGHTS_KEPT = 300_000
+_WEIGHTS_KEPT = 150_000
 _TEXTS = 512
 _DRAW = 1 << 30
 
