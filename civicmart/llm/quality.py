@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import math
 import re
-import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -26,7 +25,6 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -174,7 +172,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Scorer:
-    """A worker's weights by word, a bounded number of which are kept; others are summed anew.
+    """A task's weights by word, a bounded number of which are kept; others are summed anew.
 
     Both heads' weights of a word stand in a row of ``table``; ``rows`` says in which.
     """
@@ -349,30 +347,21 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
 
 def judged(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """All rows and columns of ``docs`` with ``__p`` (low_quality, toxic), both probabilities."""
-    model, key = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, train_rows)), uuid.uuid4().hex
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, train_rows))
 
     @F.pandas_udf("low_quality double, toxic double")
-    def score(texts: pd.Series) -> pd.DataFrame:
-        scorer = _scorer(key, model)
-        values, out = texts.tolist(), []
-        for low in range(0, len(values), _TEXTS):
-            out += scorer.probabilities(values[low : low + _TEXTS])
-        return pd.DataFrame(out, columns=["low_quality", "toxic"])
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        # One scorer per task: what it keeps is freed before the worker serves another stage.
+        scorer = Scorer(*model.value)
+        for texts in batches:
+            values, out = texts.tolist(), []
+            for low in range(0, len(values), _TEXTS):
+                out += scorer.probabilities(values[low : low + _TEXTS])
+            yield pd.DataFrame(out, columns=["low_quality", "toxic"])
 
     return docs.withColumn("__p", score("text"))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
-def _scorer(key: str, model: Broadcast) -> Scorer:
-    """One per Python worker, for the model that it saw last; ``key`` names the model."""
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(*model.value)
-    return _scorers[key]
-
-
 def is_rejected(threshold: float = REJECTED) -> Column:
     return (F.col("__p.low_quality") >= threshold) | (F.col("__p.toxic") >= threshold)
 
