@@ -277,3 +277,30 @@ def test_contracts_cover_all_tables():
     assert contract(RAW, "permits_cleared") == contract(RAW, "permits_active")
     with pytest.raises(KeyError):
         contract(MART, "unknown")
+
+
+def test_tables_that_sort_what_they_read_are_computed_from_small_splits(spark, tmp_path, monkeypatch):
+    from civicmart.plans import pipeline
+    from civicmart.session import bounded_sorts
+
+    key = "spark.sql.files.maxPartitionBytes"
+    before, seen = spark.conf.get(key), []
+    raw = spark.createDataFrame([("A", "1")], "PARCELID string, OBJECTID string")
+    pipeline.replace_table(raw, str(tmp_path), "bronze", "property_boundaries")
+
+    def build(df, watch=None):
+        seen.append(int(spark.conf.get(key)))
+        return df
+
+    monkeypatch.setattr(pipeline, "RAW", "bronze")
+    monkeypatch.setattr(pipeline, "PARTITIONED", {})
+    monkeypatch.setattr(pipeline, "CLEAN_PLANS", {"properties": (build, ("property_boundaries",))})
+    assert pipeline.clean(spark, str(tmp_path)) == {"properties": 1}
+    assert seen == [16 << 20] and spark.conf.get(key) == before
+    spark.conf.set(key, "2k")
+    try:
+        with bounded_sorts(spark):
+            assert spark.conf.get(key) == "2048"  # a smaller bound of the caller stays
+        assert spark.conf.get(key) == "2k"
+    finally:
+        spark.conf.set(key, before)
