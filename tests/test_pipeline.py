@@ -370,3 +370,29 @@ def test_catalog_tables_are_filled_from_the_lake(spark, lake):
             assert df.count() == written[layer].get(table, 0), table
             assert df.columns == contract(layer, table).fieldNames()
     assert spark.table(f"filled_{CLEAN}.building_permits").select(F.max("application_year")).first()[0] == 2020
+
+
+def test_lines_are_joined_as_they_are_read():
+    """Without a shuffle: batches of two blocks, a record over the end of a batch and one over the end of a block."""
+    import pyarrow as pa
+
+    from civicmart.sources.extracts import _END, _START, _line_joiner
+
+    def batch(*rows):
+        return pa.RecordBatch.from_arrays([pa.array([u for u, _ in rows]), pa.array([t for _, t in rows])], names=["unit", "line"])
+
+    batches = [
+        batch((7, "a,b"), (7, '1,"x')),
+        batch((7, 'y"'), (7, '2,"z')),
+        batch((9, "z"), (9, 'z"'), (9, "3,c"), (9, '4,"p'), (9, 'q"'), (9, "5,d")),
+    ]
+    made = [tuple(r.values()) for b in _line_joiner({7: (0, 0), 9: (64, 1)})(iter(batches)) for r in b.to_pylist()]
+    assert made == [
+        (7, True, 0, "a,b", None),
+        (7, False, 0, '1,"x\ny"', None),
+        (7, False, _END, None, '2,"z'),
+        (9, False, _START, None, 'z\nz"'),
+        (9, False, 0, "3,c", None),
+        (9, False, 0, '4,"p\nq"', None),
+        (9, False, 0, "5,d", None),
+    ]
