@@ -135,15 +135,22 @@ def fetch(index: DataFrame, record_ids: DataFrame) -> DataFrame:
     place = ["bundle", "frame", "offset"]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, text = None, b""
+        held, text, bundle, table = None, b"", None, []
         for batch in batches:
-            found = []
+            # One frame's records make one data frame: a data frame a record took most of the time.
+            found: list[bytes] = []
             for name, number, low, size in batch.itertuples(index=False):
                 if held != (name, number):
+                    if found:
+                        yield _records(b"".join(found))
+                        found = []
                     with open_file(name) as file:
-                        held, text = (name, number), _frame(file, *seek_table(file)[number])
-                found.append(_records(text[low : low + size]))
-            yield pd.concat(found)
+                        if bundle != name:
+                            bundle, table = name, seek_table(file)
+                        held, text = (name, number), _frame(file, *table[number])
+                found.append(text[low : low + size])
+            if found:
+                yield _records(b"".join(found))
 
     dealt = wanted.select(*place, "length").repartitionByRange(*place[:2]).sortWithinPartitions(*place)
     return dealt.mapInPandas(read, _RECORD)

@@ -124,3 +124,22 @@ def io_file(data):
     import pyarrow as pa
 
     return pa.BufferReader(data)
+
+
+def test_records_of_one_frame_are_read_as_one(spark, monkeypatch):
+    from unittest.mock import MagicMock
+
+    rows = [(i, None, bytearray(b"%d" % i)) for i in range(50)]
+    records = warc.with_revisits(spark.createDataFrame(rows, "record_key long, url string, payload binary").coalesce(1))
+    index = warc.write_archives(records.coalesce(1), frame_bytes=4000)
+    planned = MagicMock()
+    warc.fetch(planned, MagicMock())
+    chain = planned.join.return_value.select.return_value.repartitionByRange.return_value.sortWithinPartitions.return_value
+    read, places = chain.mapInPandas.call_args[0][0], index.toPandas().sort_values(["bundle", "frame", "offset"])
+    parsed, tables, records_of, table_of = [], [], warc._records, warc.seek_table
+    monkeypatch.setattr(warc, "_records", lambda text: parsed.append(text) or records_of(text))
+    monkeypatch.setattr(warc, "seek_table", lambda file: tables.append(file) or table_of(file))
+    out = list(read(iter([places[["bundle", "frame", "offset", "length"]]])))
+    assert sorted(k for batch in out for k in batch["record_key"]) == list(range(50))
+    frames = len(places[["bundle", "frame"]].drop_duplicates())
+    assert 1 < frames == len(parsed) < 50 and len(tables) == places["bundle"].nunique()
