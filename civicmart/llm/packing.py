@@ -50,6 +50,7 @@ _CLOSE = 1e-6
 WORDS_KEPT = 500_000
 RUNS_KEPT = 300_000
 _TEXTS = 1024
+_PIECE_BYTES = 8 << 20  # of pieces given out at once, as a batch of long documents is large
 
 
 # ---- tokens ------------------------------------------------------------------------------
@@ -323,9 +324,13 @@ def pack(
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         size = np.dtype(width).itemsize
+        columns = "doc_id start length ids_crc32 doc_tokens sequence_id offset ids".split()
         for batch in batches:
-            out = []
+            out, held = [], 0
             for row in batch.itertuples(index=False):
+                if held >= _PIECE_BYTES:
+                    yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
+                    out, held = [], 0
                 for run in row.runs:
                     start, at, end = run["start"], run["at"], run["at"] + run["length"]
                     while at < end:
@@ -339,8 +344,7 @@ def pack(
                         n = min(end, high) - at
                         piece = np.frombuffer(row.ids[start * size : (start + n) * size], width).astype("<u4").tobytes()
                         out.append((None if row.unknown else row.doc_id, start, n, zlib.crc32(piece), row.doc_tokens, sequence, at - low, piece))
-                        start, at = start + n, at + n
-            columns = "doc_id start length ids_crc32 doc_tokens sequence_id offset ids".split()
+                        start, at, held = start + n, at + n, held + len(piece)
             yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
     # A null id would turn a batch's ids into floating point numbers.

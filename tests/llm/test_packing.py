@@ -74,3 +74,31 @@ def test_windows_hold_the_target_proportions(spark, docs):
     early = [r for r in out if r.sequence_id < 4]
     share = sum(r.length for r in early if r.doc_id % 3 == 0) / sum(r.length for r in early)
     assert abs(share - 0.5) < 0.15
+
+
+def test_pieces_are_given_out_by_bytes(spark, monkeypatch):
+    """A batch of long documents gives several batches of pieces, the same pieces in all."""
+    from unittest.mock import MagicMock
+
+    import pandas as pd
+
+    from civicmart.llm import packing
+
+    rows, runs = MagicMock(), MagicMock()
+    rows.agg.return_value.first.return_value = [100]
+    monkeypatch.setattr(packing, "tokenized", lambda *_: rows)
+    monkeypatch.setattr(packing, "shares", lambda *_: None)
+    monkeypatch.setattr(packing, "pieces", lambda *_: runs)
+    monkeypatch.setattr(packing, "_PIECE_BYTES", 100, raising=False)
+    monkeypatch.setattr(packing, "WordTokens", lambda _: MagicMock(width="<u2"))
+    packing.pack(None, "", window=64)
+    joined = rows.select.return_value.join.return_value.select.return_value
+    cut = joined.mapInPandas.call_args[0][0]
+    ids = bytes(range(40))
+    batch = pd.DataFrame(
+        [(i, False, 20, ids, [{"start": 0, "length": 20, "at": 20 * i}]) for i in range(5)],
+        columns=["doc_id", "unknown", "doc_tokens", "ids", "runs"],
+    )
+    out = list(cut(iter([batch])))
+    assert len(out) == 3 and sum(len(o) for o in out) == 7
+    assert sum(int(o["length"].sum()) for o in out) == 100
