@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import gc
 import re
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +31,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_held: dict[Any, Any] = {}
+
+
+def held(key: Any, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task: one thing only, so that of another step is dropped."""
+    if key not in _held:
+        drop_held()
+        _held[key] = make()
+    return _held[key]
+
+
+def drop_held() -> None:
+    """For tasks that keep nothing but need memory themselves."""
+    if _held:
+        _held.clear()
+        gc.collect()  # tokenizers hold cycles
+
+
 def shielded(*used: str) -> Callable:
     """For a step from documents to documents: columns but the ``used`` ones have other names while it works.
 

@@ -29,16 +29,18 @@ import re
 import unicodedata
 import zlib
 from collections import deque
-from collections.abc import Iterable, Iterator
-from itertools import chain, compress, filterfalse, repeat
-from operator import is_
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import running_before, staged
+from civicmart.llm.common import held, running_before, staged
+from civicmart.llm.pieces import PieceTokens, batched
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 2
@@ -47,9 +49,8 @@ SHARD_TOKENS = 1 << 20
 CHUNK_ROWS = 256
 SHARDS_PER_BLOCK = 4096
 _CLOSE = 1e-6
-WORDS_KEPT = 500_000
-RUNS_KEPT = 300_000
-_TEXTS = 1024
+WORDS_KEPT = 200_000
+RUNS_KEPT = 200_000
 _PIECE_BYTES = 8 << 20  # of pieces given out at once, as a batch of long documents is large
 
 
@@ -57,7 +58,7 @@ _PIECE_BYTES = 8 << 20  # of pieces given out at once, as a batch of long docume
 
 
 class WordTokens:
-    """Token ids of texts, each distinct word tokenized once.
+    """Token ids of texts, each distinct word of a batch looked up or tokenized once.
 
     The vocabulary drops white space and never merges across it, and splits words into
     runs of letters, single digits and runs of other signs.  So a text's ids are those
@@ -84,85 +85,53 @@ class WordTokens:
         self.width = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-        self.words_met, self.runs_met = _Met(), _Met()
+        nothing = {"": np.zeros(0, self.width)}
+        self.runs = PieceTokens(self._tokenized, RUNS_KEPT, nothing)
+        self.words = PieceTokens(self._cut, WORDS_KEPT, nothing)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned numbers of ``width``."""
-        split = [self._split(t) for t in texts]
-        # One look-up per word, as most of the time goes into reaching the words' memory.
-        get = self.words.get
-        held = [None if words is None else list(map(get, words)) for words in split]
-        lacking = [() if v is None else compress(w, map(is_, v, repeat(None))) for w, v in zip(split, held)]
-        found = self._tokenized(set(chain.from_iterable(lacking)))
-        for word in self.words_met.again(found, WORDS_KEPT - len(self.words)):
-            self.words[word] = found[word]
-        out = []
-        for text, words, values in zip(texts, split, held):
-            if words is None:
-                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, self.width).tobytes())
+        return [ids for part in batched(texts) for ids in self._encoded(part)]
+
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+        cleaned = [self._cleaned(t) for t in texts]
+        split = pc.split_pattern(pa.array([t for t in cleaned if t is not None], pa.string()), " ")
+        ids, counts = self.words.encode(split.flatten())
+        data, size = ids.tobytes(), ids.itemsize
+        ends = iter((np.r_[0, np.cumsum(counts)][split.offsets.to_numpy()] * size).tolist())
+        low = next(ends)
+        for text, clean in zip(texts, cleaned):
+            if clean is None:
+                yield np.array(self.whole.encode(text, add_special_tokens=False).ids, self.width).tobytes()
             else:
-                out.append(b"".join([found[w] if v is None else v for w, v in zip(words, values)]))
-        return out
+                high = next(ends)
+                yield data[low:high]
+                low = high
 
-    def _split(self, text: str) -> list[str] | None:
+    def _cleaned(self, text: str) -> str | None:
+        """The text in small letters with spaces as its only white space; None if it has other signs than plain ones."""
         if "<|" in text or not self._PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
             return None
-        return text.lower().replace("\n", " ").replace("\t", " ").split(" ")
-
-    def _tokenized(self, words: set[str]) -> dict[str, bytes]:
-        letters = set(filter(str.isalpha, words))
-        cut = {w: self._RUNS.findall(w) for w in words.difference(letters)}
-        new = list(set(filterfalse(self.runs.__contains__, chain(letters, *cut.values()))))
-        if new:
-            ids = np.array(self.bare.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, self.width)
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(new):
-                raise ValueError("a run of signs gave more or less than one last token")
-            size = ids.dtype.itemsize
-            whole, at = ids.tobytes(), [0, *(ends * size).tolist()]
-            found = {r: whole[a:b] for r, a, b in zip(new, at, at[1:])}
-        else:
-            found = {}
-        known = self.runs
-        out = {w: found[w] if w in found else known[w] for w in letters}
-        for word, runs in cut.items():
-            out[word] = b"".join([found[r] if r in found else known[r] for r in runs])
-        for run in self.runs_met.again(found, RUNS_KEPT - len(known)):
-            known[run] = found[run]
-        return out
-
-
-class _Met:
-    """Which words were met before, by a bit of their hash.
-
-    Most distinct words occur once, so a word is kept from its second batch on.  A
-    mistaken bit only keeps a word early.
-    """
-
-    _BITS = 1 << 24
-
-    def __init__(self):
-        self.bits = np.zeros(self._BITS, bool)
-
-    def again(self, words: Iterable[str], room: int) -> list[str]:
-        """At most ``room`` of the words, all of which were met before."""
-        words = list(words)
-        at = np.fromiter(map(hash, words), np.int64, len(words)) & (self._BITS - 1)
-        known = np.flatnonzero(self.bits[at])[: max(0, room)]
-        self.bits[at] = True
-        return [words[i] for i in known]
+        return text.lower().replace("\n", " ").replace("\t", " ")
 
+    def _cut(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        cut = [(w,) if w.isalpha() else self._RUNS.findall(w) for w in words]
+        ids, counts = self.runs.encode(pa.array(list(chain.from_iterable(cut)), pa.string()))
+        # Where the ids of each word end, by the number of its runs.
+        ends = np.r_[0, np.cumsum(counts)][np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))]
+        return ids, np.diff(ends, prepend=0)
 
-_loaded: dict[str, WordTokens] = {}
+    def _tokenized(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(self.bare.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0].ids, self.width)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(runs):
+            raise ValueError("a run of signs gave more or less than one last token")
+        return ids, np.diff(ends, prepend=0)
 
 
 def word_tokens(path: str) -> WordTokens:
-    """One per Python worker."""
-    if path not in _loaded:
-        _loaded[path] = WordTokens(path)
-    return _loaded[path]
+    """One per Python worker, until another step's task needs the memory."""
+    return held((WordTokens, path), lambda: WordTokens(path))
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_token: int = END_TOKEN) -> DataFrame:
@@ -172,12 +141,9 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_token: int = END_TOKEN)
     def ids(texts: pd.Series) -> pd.Series:
         tokens = word_tokens(tokenizer_path)
         end = np.array([end_token], tokens.width).tobytes()
-        values = texts.fillna("").tolist()
-        out: list[bytes] = []
-        gc.disable()  # the caches hold no cycles, and walking them for each batch is slow
+        gc.disable()  # the cache holds no cycles, and walking it for each batch is slow
         try:
-            for low in range(0, len(values), _TEXTS):
-                out.extend(x + end for x in tokens.encode(values[low : low + _TEXTS]))
+            out = [x + end for x in tokens.encode(texts.fillna("").tolist())]
         finally:
             gc.enable()
         return pd.Series(out, dtype=object)

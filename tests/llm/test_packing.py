@@ -102,3 +102,20 @@ def test_pieces_are_given_out_by_bytes(spark, monkeypatch):
     out = list(cut(iter([batch])))
     assert len(out) == 3 and sum(len(o) for o in out) == 7
     assert sum(int(o["length"].sum()) for o in out) == 100
+
+
+def test_words_are_tokenized_once_a_batch_and_kept_in_bounds(monkeypatch):
+    """Half a million kept words and as many objects took most of a worker's memory, and a look-up for each occurrence its time."""
+    monkeypatch.setattr(packing, "WORDS_KEPT", 6)
+    monkeypatch.setattr(packing, "RUNS_KEPT", 5)
+    tokens = packing.WordTokens(tokenizer_path())
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(WORDS) + rng.choice([" ", "\n", "  ", ", "]) for _ in range(rng.randrange(40))) for _ in range(200)]
+    asked = []
+    tokenize = tokens.runs.tokenize
+    tokens.runs.tokenize = lambda runs: asked.append(sorted(runs)) or tokenize(runs)
+    for part in (texts[:100], texts[100:], texts[:50], ["", "  "], []):
+        expected = [np.array(plain_ids(t)[:-1], tokens.width).tobytes() for t in part]
+        assert tokens.encode(part) == expected
+    assert all(len(set(runs)) == len(runs) for runs in asked)
+    assert len(tokens.words.rows) <= 7 and len(tokens.runs.rows) <= 6
