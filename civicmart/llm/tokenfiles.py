@@ -28,24 +28,25 @@ from __future__ import annotations
 import gc
 import struct
 import uuid
-from collections.abc import Iterable, Iterator
-from itertools import chain, compress, repeat
-from operator import is_
+from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import create_file, open_file, qualified, running_before, staged
+from civicmart.llm.common import create_file, held, open_file, qualified, running_before, staged
+from civicmart.llm.pieces import PieceTokens, batched
 from civicmart.session import scratch_dir
 
 END_TOKEN = 0
 CHUNK_BITS = 8
 RANK_BITS = 512
 FILE_TOKENS = 1 << 24
-CHUNKS_KEPT = 500_000
+CHUNKS_KEPT = 300_000
 _TEXTS = 512
 
 _MAGIC = b"TOKENDAC"
@@ -60,7 +61,7 @@ _INDEX = "part long, number long, name string, n_tokens long, n_docs long"
 
 
 class ChunkTokens:
-    """Token ids of texts by a byte-level vocabulary, each frequent stretch tokenized once.
+    """Token ids of texts by a byte-level vocabulary, each distinct stretch of a batch tokenized once.
 
     The vocabulary's splitting never joins what stands before a space or line end with
     what follows.  So a text is cut there, and its ids are those of its stretches.  Stretches
@@ -84,63 +85,50 @@ class ChunkTokens:
         self.begins[[i for t, i in vocabulary.items() if t[0] == "Ġ" or t == "Ċ"]] = True
         self.special = [str(t.content) for t in self.whole.get_added_tokens_decoder().values()]
         # Stretches without a sign after the space or the line end; they never need tokenizing.
-        self.fixed = {"": self._ids(" "), "\n": self._ids("\n")}
-        self.known: dict[str, bytes] = dict(self.fixed)
-        self.older: dict[str, bytes] = {}
+        fixed = {"": self._ids(" "), "\n": self._ids("\n")}
+        self.newline = len(fixed["\n"])
+        self.chunks = PieceTokens(self._tokenized, CHUNKS_KEPT, fixed)
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.width).tobytes()
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned numbers of ``width``."""
+        return [ids for part in batched(texts) for ids in self._encoded(part)]
+
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
         plain = self._plain(texts)
         # The sign before the text makes its first stretch one that follows a line end.
-        split = [("\n" + t).replace("\n", " \n").split(" ")[1:] if ok else () for t, ok in zip(texts, plain)]
-        get = self.known.get
-        held = [list(map(get, chunks)) for chunks in split]
-        new = set(chain.from_iterable(compress(c, map(is_, h, repeat(None))) for c, h in zip(split, held)))
-        found = {c: self.older[c] for c in new if c in self.older}
-        found |= self._tokenized(new.difference(found))
-        newline = len(self.fixed["\n"])
-        out = []
-        for text, ok, chunks, values in zip(texts, plain, split, held):
-            if not text:
-                out.append(b"")
-            elif ok:
-                out.append(b"".join([found[c] if v is None else v for c, v in zip(chunks, values)])[newline:])
+        marked = ["\n" + t.replace("\n", " \n") for t in compress(texts, plain)]
+        split = pc.split_pattern(pa.array(marked, pa.string()), " ")
+        ids, counts = self.chunks.encode(split.flatten())
+        data, size = ids.tobytes(), ids.itemsize
+        ends = iter((np.r_[0, np.cumsum(counts)][split.offsets.to_numpy()] * size).tolist())
+        low = next(ends)
+        for text, ok in zip(texts, plain):
+            if ok:
+                high = next(ends)
+                yield data[low + self.newline * size : high]
+                low = high
             else:
-                out.append(self._ids(text))
-        if len(self.known) + len(found) > CHUNKS_KEPT:
-            self.older, self.known = self.known, dict(self.fixed)
-        self.known |= found
-        return out
+                yield self._ids(text).tobytes()
 
     def _plain(self, texts: list[str]) -> list[bool]:
-        unusual = [s for s in (*self._ODD, *self._RUNS, *self.special) if s in "|".join(texts)]
+        joined = "|".join(texts)
+        unusual = [s for s in (*self._ODD, *self._RUNS, *self.special) if s in joined]
         return [not t.endswith(self._ENDS) and not any(s in t for s in unusual) for t in texts]
 
-    def _tokenized(self, chunks: Iterable[str]) -> dict[str, bytes]:
-        chunks = list(chunks)
-        if not chunks:
-            return {}
-        joined = "".join([c if c[0] == "\n" else " " + c for c in chunks])
-        ids = np.array(self.whole.encode(joined, add_special_tokens=False).ids, self.width)
+    def _tokenized(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._ids("".join([c if c[0] == "\n" else " " + c for c in chunks]))
         starts = np.flatnonzero(self.begins[ids])
         if len(starts) != len(chunks):
             raise ValueError("a stretch of text gave more or less than one first token")
-        size = ids.dtype.itemsize
-        data, at = ids.tobytes(), [*(starts * size).tolist(), len(ids) * size]
-        return {c: data[a:b] for c, a, b in zip(chunks, at, at[1:])}
-
-
-_loaded: dict[str, ChunkTokens] = {}
+        return ids, np.diff(starts, append=len(ids))
 
 
 def chunk_tokens(path: str) -> ChunkTokens:
-    """One per Python worker."""
-    if path not in _loaded:
-        _loaded[path] = ChunkTokens(path)
-    return _loaded[path]
+    """One per Python worker, until another step's task needs the memory."""
+    return held((ChunkTokens, path), lambda: ChunkTokens(path))
 
 
 # ---- one file ----------------------------------------------------------------------------
@@ -271,10 +259,10 @@ def write_tokens(
         end = np.array([end_token], tokens.width).tobytes()
         keys: list[int | None] = []
         coded: list[bytes] = []
-        files, held = 0, 0
+        files, waiting = 0, 0
 
         def closed() -> pa.RecordBatch:
-            nonlocal files, held
+            nonlocal files, waiting
             name = f"{folder}/tokens-{context.partitionId()}-{files}-{uuid.uuid4().hex}.bin"
             ids = np.frombuffer(b"".join(coded), tokens.width)
             counts = np.fromiter(map(len, coded), np.int64, len(coded)) // ids.itemsize
@@ -282,7 +270,7 @@ def write_tokens(
                 for part in packed(ids, keys, counts, chunk_bits):
                     file.write(part)
             row = {"part": context.partitionId(), "number": files, "name": name, "n_tokens": len(ids), "n_docs": len(keys)}
-            files, held = files + 1, 0
+            files, waiting = files + 1, 0
             keys.clear()
             coded.clear()
             return pa.RecordBatch.from_pylist([row], schema)
@@ -296,11 +284,11 @@ def write_tokens(
                 finally:
                     gc.enable()
                 for key, one in zip(ids[low : low + _TEXTS], out):
-                    if coded and held + len(one) // len(end) + 1 > file_tokens:
+                    if coded and waiting + len(one) // len(end) + 1 > file_tokens:
                         yield closed()
                     keys.append(key)
                     coded.append(one + end)
-                    held += len(one) // len(end) + 1
+                    waiting += len(one) // len(end) + 1
         if coded:
             yield closed()
 

@@ -139,3 +139,20 @@ def test_extra_columns_are_ignored(spark, docs, tokenizer):
     rows = [(3, "three"), (1, "one")]
     clash = docs(rows).withColumns({c: F.lit("x") for c in ("h", "row", "part", "base", "name", "ids")})
     assert written(tokenfiles.write_tokens(clash, byte_tokenizer_path())) == expected(tokenizer, rows)
+
+
+def test_stretches_are_tokenized_once_a_batch(monkeypatch, tokenizer):
+    """Each occurrence used to be looked up and joined by itself, with five times as many stretches kept."""
+    from civicmart.llm import pieces
+
+    monkeypatch.setattr(tokenfiles, "CHUNKS_KEPT", 8)
+    monkeypatch.setattr(pieces, "_BATCH_SIGNS", 200)
+    tokens = tokenfiles.ChunkTokens(byte_tokenizer_path())
+    asked = []
+    tokenize = tokens.chunks.tokenize
+    tokens.chunks.tokenize = lambda chunks: asked.append(chunks) or tokenize(chunks)
+    texts = [t or "" for t in TEXTS] * 3
+    expected = [np.array(plain(tokenizer, t)[:-1], tokens.width).tobytes() for t in texts]
+    assert tokens.encode(texts) == expected
+    assert asked and all(len(set(chunks)) == len(chunks) for chunks in asked)
+    assert len(tokens.chunks.rows) <= 8
