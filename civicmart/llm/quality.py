@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import shielded, staged
+from civicmart.llm.common import drop_held, shielded, staged
 
 TRAIN_ROWS = 8192
 LABELLED_SHARE = 0.75
@@ -280,6 +280,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
 
     @F.pandas_udf("string")
     def vote(texts: pd.Series) -> pd.Series:
+        drop_held()
         return pd.Series([votes(t or "") for t in texts], dtype=object)
 
     voted = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), vote("text").alias("votes"))
@@ -302,6 +303,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
     chosen = chosen.dropDuplicates(["doc_id", "text_hash"])
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        drop_held()
         for batch in batches:
             made = [features(t or "") for t in batch["text"]]
             yield pd.DataFrame(
@@ -329,6 +331,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
         return [math.nan if out else posterior(x, *model) for x, out in zip(heads, left)]
 
     def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        drop_held()
         parts = list(batches)
         if not parts:
             return
@@ -351,6 +354,7 @@ def judged(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) ->
 
     @F.pandas_udf("low_quality double, toxic double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        drop_held()
         # One scorer per task: what it keeps is freed before the worker serves another stage.
         scorer = Scorer(*model.value)
         for texts in batches:

@@ -112,3 +112,46 @@ def test_held_out_toxic_texts_among_words_met_once(spark, docs, made):
     clean = [held[i] for i, _, t in rows if i in held and not t]
     assert len(toxic) > 40 and sum(toxic) / len(toxic) >= 0.9, sum(toxic) / len(toxic)
     assert sum(clean) / len(clean) <= 0.02, sum(clean) / len(clean)
+
+
+def test_the_classifier_drops_what_packing_left_in_its_workers(spark, docs):
+    """Both together passed an executor's limit when the pipeline ran again in one session."""
+    from civicmart.llm import packing
+    from civicmart.llm.queries import tokenizer_path
+
+    rows = docs([(1, "some words of a text"), (2, "and of another")]).coalesce(1)
+
+    def kept(batches):
+        from civicmart.llm import common
+
+        for batch in batches:
+            batch["n"] = len(common._held)
+            yield batch[["n"]]
+
+    def holding():
+        return {r.n for _ in range(3) for r in rows.mapInPandas(kept, "n long").collect()}
+
+    packing.tokenized(rows, tokenizer_path()).count()
+    assert holding() <= {0, 1}
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    quality.judged(rows.select("doc_id", "text"), labels).collect()
+    assert 0 in holding()
+
+
+def test_a_worker_holds_one_thing():
+    import weakref
+
+    from civicmart.llm import common
+
+    class Loaded:
+        def __init__(self):
+            self.me = self
+
+    first = common.held("a", Loaded)
+    assert common.held("a", Loaded) is first
+    seen = weakref.ref(first)
+    del first
+    common.held("b", Loaded)
+    assert seen() is None
+    common.drop_held()
+    assert common._held == {}
