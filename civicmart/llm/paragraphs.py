@@ -12,7 +12,9 @@ similarity of 0.8 over five-word shingles these are 5 bands of 2 minima, with
 1 - (1 - 0.8**2)**5 = 0.994; pairs that are more alike are missed less often.  Texts that
 share a band are compared by their exact shingle sets, and the links' components are the
 classes.  In every class the first occurrence stays; others are removed where they make up
-at least ``least_run`` words in a row, so short common lines stay.
+at least ``least_run`` words in a row, so short common lines stay.  A passage that begins and
+ends inside sentences may hold one short paragraph only: that counts too if, with the words
+just before or just after it, ``least_run`` words in a row stand in another document.
 
 A crowded band value is cut into tiles and each pair of tiles is compared on its own; a
 comparison gives a spanning forest of its links, never all pairs.  Copies are counted
@@ -114,8 +116,29 @@ def _bands(word_hashes: np.ndarray, lengths: np.ndarray, bands: int, rows: int)
     return out.view(np.int64)
 
 
-def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS, bands: int | None = None, rows: int | None = None) -> DataFrame:
-    """(row_id, doc_id, paragraph, n_words, text_id, said, bands), written once; short lines have no bands."""
+def _contexts(cut: list[list[str]], least_run: int) -> Iterator[list[int] | None]:
+    """For each paragraph of fewer words, hashes of the ``least_run`` words that end with it and that begin with it."""
+    import xxhash
+
+    words = [w for said in cut for w in said]
+    end = 0
+    for said in cut:
+        start, end = end, end + len(said)
+        if len(said) >= least_run:
+            yield None
+        else:
+            sides = [(low, low + least_run) for low in (end - least_run, start) if low >= 0 and low + least_run <= len(words)]
+            yield [xxhash.xxh3_64_intdigest(" ".join(words[low:high]).encode()) - (1 << 63) for low, high in sides]
+
+
+def occurrences(
+    docs: DataFrame,
+    least_words: int = LEAST_WORDS,
+    bands: int | None = None,
+    rows: int | None = None,
+    least_run: int = LEAST_RUN,
+) -> DataFrame:
+    """(row_id, doc_id, paragraph, n_words, text_id, said, contexts, bands), written once; short lines have no bands."""
     import xxhash
 
     if bands is None or rows is None:
@@ -129,14 +152,17 @@ def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS, bands: int | No
                 part = batch.iloc[low : low + 512]
                 found, words = [], []
                 for row, doc, text in zip(part["row_id"], part["doc"], part["text"]):
-                    for number, said in paragraphs(text, least_words):
+                    numbered = list(paragraphs(text, least_words))
+                    around = _contexts([said for _, said in numbered], least_run)
+                    for (number, said), contexts in zip(numbered, around):
                         joined = " ".join(said)
-                        found.append((row, doc, number, len(said), xxhash.xxh3_64_intdigest(joined.encode()), joined))
+                        text_id = xxhash.xxh3_64_intdigest(joined.encode())
+                        found.append((row, doc, number, len(said), text_id, joined, contexts))
                         if len(said) >= banded:
                             words += said
                 if not found:
                     continue
-                out = pd.DataFrame(found, columns=["row_id", "doc", "paragraph", "n_words", "text_id", "said"])
+                out = pd.DataFrame(found, columns=["row_id", "doc", "paragraph", "n_words", "text_id", "said", "contexts"])
                 out["text_id"] = out["text_id"].to_numpy(np.uint64).view(np.int64)
                 lengths = out["n_words"].to_numpy()
                 long = lengths >= banded
@@ -148,7 +174,7 @@ def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS, bands: int | No
 
     # Ids go as text, because a null would turn a batch's ids into floating point numbers.
     texts = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("string").alias("doc"), "text")
-    schema = "row_id long, doc string, paragraph int, n_words int, text_id long, said string, bands array<long>"
+    schema = "row_id long, doc string, paragraph int, n_words int, text_id long, said string, contexts array<long>, bands array<long>"
     found = texts.mapInPandas(cut, schema).withColumn("doc_id", F.col("doc").cast("long")).drop("doc")
     return staged(found, "paragraphs")
 
@@ -235,14 +261,18 @@ def repeated_passages(
 ) -> DataFrame:
     """Paragraphs that occur again, exactly or nearly, in runs of at least ``least_run`` words.
 
-    (row_id, doc_id, paragraph, n_words, said, first_doc_id, first_paragraph, removed): the
-    first occurrence of the class, and whether this one goes.  Lines of fewer than ``least_words``
-    words are compared by equality; ``recall`` is that of the bands at ``similarity``.
+    (row_id, doc_id, paragraph, n_words, said, first_doc_id, first_paragraph, removed, across): the
+    first occurrence of the class, whether this one goes, and whether the class occurs in more
+    than one row.  Lines of fewer than ``least_words`` words are compared by equality;
+    ``recall`` is that of the bands at ``similarity``.
     """
-    found = occurrences(docs, least_words, *tuned_bands(similarity, recall))
+    found = occurrences(docs, least_words, *tuned_bands(similarity, recall), least_run)
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_id", "paragraph")
     texts = found.groupBy("text_id").agg(
-        F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")
+        F.min(place).alias("first"),
+        F.count(F.lit(1)).alias("n"),
+        (F.min("row_id") < F.max("row_id")).alias("across"),
+        F.first("bands").alias("bands"),
     )
     texts = staged(texts, "texts")
     met = _collisions(texts)
@@ -254,18 +284,28 @@ def repeated_passages(
     wording = _likely(found, ids).select("text_id", "row_id", "paragraph", "said").join(places, ["text_id", "row_id", "paragraph"])
     parts = components(_linked(met, wording, similarity)).select(F.col("node").alias("text_id"), "component")
     # Texts that occur again as they are, and those that met a near copy.
-    again = texts.where("n > 1").select("text_id", "first", "n").union(spoken.where("n = 1").select("text_id", "first", "n"))
+    columns = ["text_id", "first", "n", "across"]
+    again = texts.where("n > 1").select(columns).union(spoken.where("n = 1").select(columns))
     classed = again.join(parts, "text_id", "left").where("n > 1 OR component IS NOT NULL")
-    classed = staged(classed.select("text_id", "first", F.coalesce("component", "text_id").alias("component")), "classes")
-    heads = classed.groupBy("component").agg(F.min("first").alias("head"))
-    classed = staged(classed.join(heads, "component").select("text_id", "head"), "heads")
-    occurring = _likely(found, classed).select("row_id", "doc_id", "paragraph", "n_words", "said", "text_id")
+    classed = staged(classed.select("text_id", "first", "across", F.coalesce("component", "text_id").alias("component")), "classes")
+    many = F.max("across") | (F.min("first.row_id") < F.max("first.row_id"))
+    heads = classed.drop("across").join(classed.groupBy("component").agg(F.min("first").alias("head"), many.alias("across")), "component")
+    classed = staged(heads.select("text_id", "head", "across"), "heads")
+    occurring = _likely(found, classed).select("row_id", "doc_id", "paragraph", "n_words", "said", "contexts", "text_id")
     occurring = occurring.join(classed, "text_id")
     by_place = Window.partitionBy("row_id").orderBy("paragraph")
     occurring = occurring.withColumn("run", F.col("paragraph") - F.row_number().over(by_place))
     occurring = occurring.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("row_id", "run")))
     is_first = (F.col("head.row_id") == F.col("row_id")) & (F.col("head.paragraph") == F.col("paragraph"))
-    return occurring.where(F.col("run_words") >= least_run).select(
+    # Too short a run, but part of a repeated stretch of words that is long enough.
+    around = occurring.where(F.col("run_words") < least_run).select("row_id", "paragraph", F.explode("contexts").alias("context"))
+    shared = around.groupBy("context").agg(F.min("row_id").alias("low"), F.max("row_id").alias("high"))
+    part = staged(
+        around.join(shared.where("low < high").select("context"), "context", "left_semi").select("row_id", "paragraph").distinct(),
+        "stretches",
+    )
+    occurring = occurring.join(part.withColumn("stretch", F.lit(True)), ["row_id", "paragraph"], "left")
+    return occurring.where((F.col("run_words") >= least_run) | F.col("stretch")).select(
         "row_id",
         "doc_id",
         "paragraph",
@@ -274,4 +314,5 @@ def repeated_passages(
         F.col("head.doc_id").alias("first_doc_id"),
         F.col("head.paragraph").alias("first_paragraph"),
         (~is_first).alias("removed"),
+        "across",
     )

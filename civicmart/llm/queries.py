@@ -71,7 +71,7 @@ def op2_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 def op3_paragraph_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every passage that occurs again, with the first occurrence of its class."""
     found = paragraphs.repeated_passages(table(spark, sf, "documents"))
-    return found.select("doc_id", "paragraph", "n_words", "first_doc_id", "first_paragraph", "removed")
+    return found.select("doc_id", "paragraph", "n_words", "first_doc_id", "first_paragraph", "removed", "across")
 
 
 def bad_pages(labels: DataFrame) -> DataFrame:

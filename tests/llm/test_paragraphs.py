@@ -140,3 +140,27 @@ def test_classes_equal_brute_force(spark, docs):
     got = {(r.doc_id, r.paragraph, r.first_doc_id, r.first_paragraph) for r in par.repeated_passages(docs(rows), least_run=1).collect() if r.removed}
     assert got <= expected
     assert len(got) >= 0.97 * len(expected)
+
+
+def test_passages_that_begin_and_end_inside_sentences_are_found(spark, docs):
+    """Of a passage whose only whole paragraph is short, nothing was found."""
+    rng = random.Random(11)
+    rows, passages = [], [text_of(rng, 52) for _ in range(40)]
+    for i in range(80):
+        rows.append((i, f"{text_of(rng, 40).rstrip('.')} {passages[i % 40]} {text_of(rng, 40)}"))
+    clean = [(100 + i, text_of(rng, 150)) for i in range(40)]
+    got = par.repeated_passages(docs(rows + clean)).collect()
+    assert not {r.doc_id for r in got} & {i for i, _ in clean}
+    cut = {i: [tuple(w) for _, w in par.paragraphs(t)] for i, t in rows}
+    whole = {i for i in range(80) if set(cut[i]) & set(cut[(i + 40) % 80])}
+    alone = {i for i in whole if sum(map(len, set(cut[i]) & set(cut[(i + 40) % 80]))) < par.LEAST_RUN}
+    assert alone and whole <= {r.doc_id for r in got}
+
+
+def test_across_tells_repeats_of_other_documents_from_those_of_its_own(spark, docs):
+    rng = random.Random(12)
+    own, common = text_of(rng, 40), text_of(rng, 60)
+    rows = [(1, f"{own}\n{own}"), (2, common), (3, common), (4, text_of(rng, 60))]
+    got = par.repeated_passages(docs(rows)).collect()
+    assert {(r.doc_id, r.across) for r in got} == {(1, False), (2, True), (3, True)}
+    assert {r.doc_id for r in got if r.removed} == {1, 3}
